@@ -42,9 +42,15 @@ def read_event_csv_checked(spark: SparkSession, path: str, header: bool = True)
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted events, sanitized) and (rejected raw lines)."""
+    """(accepted events, sanitized) and (rejected lines with their parsed fields).
+
+    The reject side keeps the text fields beside the raw ``line``: Spark
+    refuses scans whose only column is the corrupt-record column, so a query
+    over rejects must reference a data column too (``count()`` alone prunes
+    to the corrupt column; count with an aggregate over a data column).
+    """
     ok = raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = raw.filter(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias("line"))
+    bad = raw.filter(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias("line"), *CORE_COLUMNS)
     return sanitize_wire(ok), bad
 
 
