@@ -48,14 +48,27 @@ def split_cutoffs(sessions: DataFrame, time_col: str = "session_start",
     return SplitCutoffs(start, start + int(total * train_frac), start + int(total * (train_frac + val_frac)))
 
 
-def split_label(sessions: DataFrame, cut: SplitCutoffs, time_col: str = "session_start") -> DataFrame:
-    """Adds ``split`` ∈ {train, val, test} (``<=`` cutoffs are inclusive)."""
-    if cut.start is None:
-        return sessions.withColumn("split", F.lit(None).cast("string"))
+def split_label(sessions: DataFrame, cut: SplitCutoffs | None = None, time_col: str = "session_start",
+                train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC) -> DataFrame:
+    """Adds ``split`` ∈ {train, val, test} (``<=`` cutoffs are inclusive).
+
+    Without ``cut`` the bounds are scalar subqueries of the same plan (no
+    driver round trip; Spark may reuse the exchange that builds the sessions).
+    """
     ts = F.col(time_col).cast("long")
+    if cut is None:
+        bounds = sessions.select(F.col(time_col).cast("long").alias("_t"))
+        lo = bounds.select(F.min("_t")).scalar()
+        hi = bounds.select(F.max("_t")).scalar()
+        span = (hi - lo).cast("double")
+        train_cut = lo + F.floor(span * F.lit(train_frac)).cast("long")
+        val_cut = lo + F.floor(span * F.lit(train_frac + val_frac)).cast("long")
+    elif cut.start is None:
+        return sessions.withColumn("split", F.lit(None).cast("string"))
+    else:
+        train_cut, val_cut = F.lit(cut.train_cutoff), F.lit(cut.val_cutoff)
     return sessions.withColumn(
-        "split",
-        F.when(ts <= cut.train_cutoff, "train").when(ts <= cut.val_cutoff, "val").otherwise("test"),
+        "split", F.when(ts <= train_cut, "train").when(ts <= val_cut, "val").otherwise("test"),
     )
 
 

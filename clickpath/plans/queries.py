@@ -103,16 +103,16 @@ def rule_scored(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _split(spark: SparkSession, sf: str):
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    # Cutoffs from one aggregate row (measured faster here than scalar
+    # subqueries, which re-plan the session table once per reference).
     scored = rule_scored(spark, sf)
-    cut = M.split_cutoffs(scored)
-    return M.split_label(scored, cut), cut
+    return M.split_label(scored, M.split_cutoffs(scored))
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    labelled, cut = _split(spark, sf)
-    version = (F.when(F.col("split") == "train", F.lit("v1")).otherwise(F.lit("v2"))
-               if cut.start is not None else F.lit("v1"))
+    labelled = _split(spark, sf)
+    version = F.when(F.col("split") == "train", F.lit("v1")).otherwise(F.lit("v2"))
     return labelled.select(
         "user_session",
         F.col("session_end").alias("event_time"),
@@ -123,22 +123,15 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _stream_cuts(spark: SparkSession, sf: str) -> tuple[int | None, int | None]:
-    ev = events(spark, sf)
-    row = ev.agg(F.min(F.col("event_time").cast("long")), F.max(F.col("event_time").cast("long"))).first()
-    if row[0] is None:
-        return None, None
-    lo, span = row[0], row[1] - row[0]
-    return lo + int(span * STREAM_SPLIT), lo + int(span * REPLAY_FROM)
-
-
 def baseline_and_streamed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Baseline = up to the middle of the time range; streamed = after it, with
-    the tail from 75% of the range replayed a second time (offset reset)."""
+    the tail from 75% of the range replayed a second time (offset reset).
+    The cut points come from one aggregate row of the time bounds."""
     ev = events(spark, sf)
-    mid, tail = _stream_cuts(spark, sf)
-    if mid is None:
+    lo, hi = ev.agg(F.min(F.col("event_time").cast("long")), F.max(F.col("event_time").cast("long"))).first()
+    if lo is None:
         return ev, ev.limit(0)
+    mid, tail = lo + int((hi - lo) * STREAM_SPLIT), lo + int((hi - lo) * REPLAY_FROM)
     t = F.col("event_time").cast("long")
     streamed = ev.filter(t > mid).unionByName(ev.filter(t > tail))
     return ev.filter(t <= mid), streamed
@@ -303,13 +296,12 @@ def q_approx_distincts(spark, sf):
 # --------------------------------------------------------------------------
 
 def q_time_split(spark, sf):
-    labelled, _ = _split(spark, sf)
+    labelled = _split(spark, sf)
     return finish(labelled.select(*_window_cols(labelled)[:2], "session_start", "split"))
 
 
 def _part(spark, sf, name):
-    labelled, _ = _split(spark, sf)
-    return labelled.filter(F.col("split") == name)
+    return _split(spark, sf).filter(F.col("split") == name)
 
 
 def q_class_balance(spark, sf):
