@@ -43,6 +43,12 @@ def consume(args) -> None:
     from .streaming.sources import event_stream, message_stream
 
     spark = _spark("clickpath-consume")
+    # Session state grows with open sessions: keep it in RocksDB (off-heap,
+    # spills to local disk, snapshots to the checkpoint) unless the cluster
+    # already chose a provider.  The choice is fixed at the first checkpoint.
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, None):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     fmt = "kafka" if args.kafka else "text"
 
     def events():

@@ -38,18 +38,19 @@ def _key(r):
     return (r["user_session"], r["session_start"])
 
 
-def test_stream_equals_closed_batch_sessions(spark, scratch):
+@pytest.mark.parametrize("mode", ["exact", "hllpp", "sketch"])
+def test_stream_equals_closed_batch_sessions(spark, scratch, mode):
     src = os.path.join(scratch, "src")
-    ev = write_message_files(spark, src)
+    write_message_files(spark, src)
     stream = event_stream(message_stream(spark, src, max_files_per_trigger=1))
-    feats = stream_session_features(stream, "30 minutes", "30 minutes", distinct="exact")
-    q = (feats.writeStream.format("memory").queryName("stream_eq").outputMode("append")
+    feats = stream_session_features(stream, "30 minutes", "30 minutes", distinct=mode)
+    q = (feats.writeStream.format("memory").queryName(f"stream_eq_{mode}").outputMode("append")
          .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
     q.awaitTermination(300)
-    got = [r.asDict() for r in spark.table("stream_eq").drop("session").collect()]
+    got = [r.asDict() for r in spark.table(f"stream_eq_{mode}").drop("session").collect()]
     decoded = event_stream(spark.read.text(src))  # the same messages, read as a batch
     wm = decoded.agg(F.max("event_time")).first()[0] - datetime.timedelta(minutes=30)
-    batch = session_features(decoded, "30 minutes", with_label=False, distinct="exact")
+    batch = session_features(decoded, "30 minutes", with_label=False, distinct=mode)
     closed = [r.asDict() for r in batch.filter(F.col("session.end") <= F.lit(wm)).drop("session").collect()]
     assert len(got) > 0.9 * batch.count()
     assert sorted(got, key=_key) == sorted(closed, key=_key)
