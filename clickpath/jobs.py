@@ -118,7 +118,7 @@ def main(argv=None):
     c.add_argument("--run-id")
     c.add_argument("--gap", default="30 minutes")
     c.add_argument("--watermark", default="30 minutes")
-    c.add_argument("--distinct", default="hllpp", choices=["exact", "sketch", "hllpp"])
+    c.add_argument("--distinct", default="sketch", choices=["exact", "sketch", "hllpp"])
     c.add_argument("--max-per-trigger", type=int, default=30000)
     c.add_argument("--max-files-per-trigger", type=int)
     c.add_argument("--archive-trigger", default="60 seconds")

@@ -109,7 +109,7 @@ def score_batch(batch: DataFrame, batch_id: int, *, champion: ChampionCache, pre
 
 def start_scoring(events: DataFrame, *, champion: ChampionCache, predictions_path: str, metrics_path: str,
                   checkpoint: str, run_id: str, gap: str = DEFAULT_GAP, watermark: str = DEFAULT_GAP,
-                  distinct: str = "hllpp", trigger: str | None = SCORING_TRIGGER, available_now: bool = False,
+                  distinct: str = "sketch", trigger: str | None = SCORING_TRIGGER, available_now: bool = False,
                   pending_path: str | None = None) -> StreamingQuery:
     sessions = stream_session_features(events, gap, watermark, distinct=distinct)
 
