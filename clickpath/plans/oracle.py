@@ -124,7 +124,7 @@ def auc_sql(src: str, score: str, group: str | None) -> str:
     return f"""(
   select {g}case when sum(pos) * sum(neg) > 0
               then sum(pos * neg_below + 0.5 * pos * neg) / (sum(pos) * sum(neg)) end as auc,
-         sum(pos) as n_pos, sum(neg) as n_neg
+         cast(sum(pos) as bigint) as n_pos, cast(sum(neg) as bigint) as n_neg
   from (
     select {g}s, pos, neg,
            coalesce(sum(neg) over ({part}order by s rows between unbounded preceding and 1 preceding), 0) as neg_below

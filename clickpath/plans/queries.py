@@ -376,7 +376,7 @@ def q_registry_history(spark, sf):
     from pyspark.sql import Window
     log = registry_log(spark, sf)
     # One row per training cycle (per day here): the registry is metadata.
-    pos = F.row_number().over(Window.orderBy("created_at", "version"))
+    pos = F.row_number().over(Window.orderBy("created_at", "version")).cast("long")
     return finish(REG.registry_history(log).withColumn("position", pos))
 
 
