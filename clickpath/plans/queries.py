@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
 from ..config import prepare, work_path
+from ..functions.sanitize import blank_to_null, sanitize_double, sanitize_long
 from ..operators import metrics as M
 from ..operators import monitor as MON
 from ..operators import registry as REG
@@ -182,19 +183,16 @@ def q_clean_events(spark, sf):
 
 
 def q_sanitize_ids(spark, sf):
-    from ..functions.sanitize import sanitize_long
     w = T.wire_text(prepare(spark), sf)
     return w.select("event_id", *[sanitize_long(F.col(c)).alias(c) for c in ("product_id", "category_id", "user_id")])
 
 
 def q_sanitize_price(spark, sf):
-    from ..functions.sanitize import sanitize_double
     w = T.wire_text(prepare(spark), sf)
     return finish(w.select("event_id", sanitize_double(F.col("price")).alias("price")))
 
 
 def q_sanitize_text(spark, sf):
-    from ..functions.sanitize import blank_to_null
     w = T.wire_text(prepare(spark), sf)
     return w.select("event_id", *[blank_to_null(F.col(c)).alias(c) for c in ("category_code", "brand")])
 

@@ -108,3 +108,16 @@ def test_event_json_has_explicit_nulls(spark):
     obj = json.loads(j)
     assert list(obj) == CORE_COLUMNS and obj["brand"] is None and obj["event_time"] == "2024-01-01 00:00:00 UTC"
     assert E.decode_events(spark.createDataFrame([(j,)], "value string")).first().event_time == at(0)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-(2**62), 2**62), st.sampled_from(["{}", " {} ", "{}.0", "{}.000"])),
+                min_size=1, max_size=30))
+def test_sanitize_long_is_exact_for_integer_text(spark, vals):
+    texts = [fmt.format(v) for v, fmt in vals]
+    got = [r[0] for r in one_col(spark, texts).select(sanitize_long(F.col("s"))).collect()]
+    assert got == [v for v, _ in vals]

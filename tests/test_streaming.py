@@ -127,3 +127,23 @@ def test_champion_hot_swap_and_no_champion(spark, scratch, champion_registry):
                         metrics={"auc": 0.9}, promoted=True)
     champ.refresh(spark)
     assert champ.version == "v2"  # unreadable model: keep serving the previous one
+
+
+def test_archive_and_scoring_run_side_by_side(spark, scratch, champion_registry):
+    """Two queries over one source, each with its own checkpoint, advance independently."""
+    reg, _ = champion_registry
+    src = os.path.join(scratch, "src")
+    ev = write_message_files(spark, src)
+    lake = os.path.join(scratch, "lake")
+    archive = start_archive(event_stream(message_stream(spark, src, max_files_per_trigger=3)), lake,
+                            os.path.join(scratch, "ck", "archive"), available_now=True)
+    scoring = SC.start_scoring(event_stream(message_stream(spark, src, max_files_per_trigger=1)),
+                               champion=SC.ChampionCache(reg, poll_seconds=0),
+                               predictions_path=os.path.join(scratch, "pred"),
+                               metrics_path=os.path.join(scratch, "met"),
+                               checkpoint=os.path.join(scratch, "ck", "scoring"), run_id="r", available_now=True)
+    archive.awaitTermination(300)
+    scoring.awaitTermination(300)
+    assert spark.read.parquet(lake).count() == ev.count()
+    assert spark.read.parquet(os.path.join(scratch, "pred")).count() > 0
+    assert archive.lastProgress["batchId"] != scoring.lastProgress["batchId"]
