@@ -33,7 +33,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        # Only reached when the cluster names no shared folder (local tests).
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                f"{_CHECKPOINT_KEY} is not set: name a folder on the cluster's shared file system")
+        # Local mode only (tests, benchmarks): a private folder on this machine.
         configured = tempfile.mkdtemp(prefix="clickpath-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
