@@ -114,6 +114,11 @@ def test_champion_hot_swap_and_no_champion(spark, scratch, champion_registry):
     batch = session_features(adapted_events(spark, SF_SMALL), with_label=False)
     assert SC.score_batch(batch, 0, champion=empty, predictions_path=os.path.join(scratch, "p0"),
                           metrics_path=os.path.join(scratch, "m0"), run_id="r") == 0
+    assert not os.path.exists(os.path.join(scratch, "p0"))  # 'skip': nothing written
+    held = os.path.join(scratch, "held")
+    SC.score_batch(batch, 0, champion=empty, predictions_path=os.path.join(scratch, "p0"),
+                   metrics_path=os.path.join(scratch, "m0"), run_id="r", pending_path=held)
+    assert spark.read.parquet(held).count() == batch.count()  # 'hold': sessions kept for a later model
     champ = SC.ChampionCache(reg, poll_seconds=0)
     champ.refresh(spark)
     assert champ.version == "v1"
