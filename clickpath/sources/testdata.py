@@ -28,6 +28,9 @@ from ..functions.encode import event_json
 from ..schema import CORE_COLUMNS, EVENT_TIME_FORMAT
 from .lake import write_complete
 
+# Bump when a derivation below changes, so stale derived files are not reused.
+DERIVATION_VERSION = 2
+
 # The event type mapping of the adapter.
 TYPE_MAP = {"click": "cart", "error": "remove_from_cart"}
 
@@ -37,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+    """``k`` of the ``props`` JSON object (typed parse; bad JSON → null)."""
+    return F.from_json(F.col("props"), "k bigint").getField("k")
 
 
 def _event_type() -> Column:
@@ -152,9 +156,9 @@ def _fingerprint(sf_dir: str) -> str:
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     try:
         st = os.stat(src)
-        stamp = f"{os.path.realpath(src)}:{st.st_size}:{st.st_mtime_ns}"
+        stamp = f"{os.path.realpath(src)}:{st.st_size}:{st.st_mtime_ns}:v{DERIVATION_VERSION}"
     except OSError:
-        stamp = src
+        stamp = f"{src}:v{DERIVATION_VERSION}"
     return hashlib.sha1(stamp.encode()).hexdigest()[:16]
 
 
