@@ -41,11 +41,16 @@ def split_cutoffs(sessions: DataFrame, time_col: str = "session_start",
     row = sessions.agg(
         F.min(F.col(time_col).cast("long")).alias("lo"), F.max(F.col(time_col).cast("long")).alias("hi")
     ).first()
-    if row is None or row["lo"] is None:
+    return cutoffs_from_bounds(row["lo"], row["hi"], train_frac, val_frac)
+
+
+def cutoffs_from_bounds(lo: int | None, hi: int | None, train_frac: float = TRAIN_FRAC,
+                        val_frac: float = VAL_FRAC) -> SplitCutoffs:
+    """Cut the time range (double arithmetic, truncated to whole seconds)."""
+    if lo is None:
         return SplitCutoffs(None, None, None)
-    start, end = row["lo"], row["hi"]
-    total = end - start
-    return SplitCutoffs(start, start + int(total * train_frac), start + int(total * (train_frac + val_frac)))
+    total = hi - lo
+    return SplitCutoffs(lo, lo + int(total * train_frac), lo + int(total * (train_frac + val_frac)))
 
 
 def split_label(sessions: DataFrame, cut: SplitCutoffs | None = None, time_col: str = "session_start",

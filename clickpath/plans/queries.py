@@ -106,13 +106,25 @@ def rule_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
     # Cutoffs from one aggregate row (measured faster here than scalar
-    # subqueries, which re-plan the session table once per reference).
+    # subqueries, which re-plan the session table once per reference, and
+    # than a reliable checkpoint of a table this small).
     scored = rule_scored(spark, sf)
     return M.split_label(scored, M.split_cutoffs(scored))
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = _split(spark, sf)
+def _split_with_latest(spark: SparkSession, sf: str):
+    """Split plus the newest session end (the monitor's ``as_of``) from the
+    same single aggregate row, so the session table is built once for both."""
+    scored = rule_scored(spark, sf)
+    row = scored.agg(
+        F.min(F.col("session_start").cast("long")).alias("lo"),
+        F.max(F.col("session_start").cast("long")).alias("hi"),
+        F.max("session_end").alias("latest"),
+    ).first()
+    return M.split_label(scored, M.cutoffs_from_bounds(row["lo"], row["hi"])), row["latest"]
+
+
+def _predictions_from(labelled: DataFrame) -> DataFrame:
     version = F.when(F.col("split") == "train", F.lit("v1")).otherwise(F.lit("v2"))
     return labelled.select(
         "user_session",
@@ -124,6 +136,10 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return _predictions_from(_split(spark, sf))
+
+
 def baseline_and_streamed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Baseline = up to the middle of the time range; streamed = after it, with
     the tail from 75% of the range replayed a second time (offset reset).
@@ -150,8 +166,9 @@ def registry_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _monitor_inputs(spark: SparkSession, sf: str):
-    pred = predictions(spark, sf)
-    return pred, MON.as_of_latest(pred)
+    """Predictions and ``as_of`` = newest ``scored_at`` (= newest session end)."""
+    labelled, latest = _split_with_latest(spark, sf)
+    return _predictions_from(labelled), latest
 
 
 # --------------------------------------------------------------------------
