@@ -115,45 +115,59 @@ def _safe_div(a: Column, b: Column) -> Column:
 
 
 def threshold_sweep(scored: DataFrame, label_col: str = "label",
-                    score_col: str = "purchase_probability", thresholds=None) -> DataFrame:
-    """tp, fp, fn, precision, recall, f1 for every threshold (``score >= t``)."""
+                    score_col: str = "purchase_probability", thresholds=None, group_cols=()) -> DataFrame:
+    """tp, fp, fn, precision, recall, f1 for every threshold (``score >= t``).
+
+    With ``group_cols`` one pass sweeps every group (e.g. validation and test
+    together); ``pos_total``/``neg_total`` carry the class sizes per group.
+    """
     ts = list(DEFAULT_THRESHOLDS if thresholds is None else thresholds)
     if sorted(ts) != ts:
         raise ValueError("thresholds must be ascending")
+    g = list(group_cols)
     spark = scored.sparkSession
     score = F.col(score_col)
     cleared = sum((F.when(score >= F.lit(t), 1).otherwise(0) for t in ts), F.lit(0))
     per_bin = (
-        scored.select(cleared.alias("bin"), F.col(label_col).cast("int").alias("y"))
-        .groupBy("bin")
+        scored.select(*g, cleared.alias("bin"), F.col(label_col).cast("int").alias("y"))
+        .groupBy(*g, "bin")
         .agg(
             F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).cast("long").alias("pos"),
             F.sum(F.when(F.col("y") == 0, 1).otherwise(0)).cast("long").alias("neg"),
         )
     )
-    zero = spark.range(0, len(ts) + 1).select(
-        F.col("id").cast("int").alias("bin"), F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg")
-    )
-    bins = zero.unionByName(per_bin).groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    # At most len(ts)+1 rows: a global window here is a bounded, tiny step.
-    above = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = Window.partitionBy()
+    # Every bin of every group present (zero rows), so each threshold has a row.
+    bins = spark.range(0, len(ts) + 1).select(F.col("id").cast("int").alias("bin"))
+    if g:
+        bins = (
+            per_bin.groupBy(*g).agg(F.sequence(F.lit(0), F.lit(len(ts))).alias("_bins"))
+            .select(*g, F.explode("_bins").alias("bin"))
+        )
+    zero = bins.select(*g, "bin", F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"))
+    full = zero.unionByName(per_bin).groupBy(*g, "bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # At most len(ts)+1 rows per group: these windows are bounded, tiny steps.
+    above = Window.partitionBy(*g).orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow)
+    total = Window.partitionBy(*g)
     grid = F.array(*[F.lit(float(t)) for t in ts])
     out = (
-        bins.withColumn("tp", F.sum("pos").over(above))
+        full.withColumn("tp", F.sum("pos").over(above))
         .withColumn("fp", F.sum("neg").over(above))
-        .withColumn("fn", F.sum("pos").over(total) - F.col("tp"))
+        .withColumn("pos_total", F.sum("pos").over(total))
+        .withColumn("neg_total", F.sum("neg").over(total))
+        .withColumn("fn", F.col("pos_total") - F.col("tp"))
         .filter(F.col("bin") >= 1)
         .withColumn("threshold", F.element_at(grid, F.col("bin")))
     )
     precision = _safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = _safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
-    return (
+    out = (
         out.withColumn("precision", precision)
         .withColumn("recall", recall)
         .withColumn("f1", _safe_div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
-        .select("threshold", "tp", "fp", "fn", "precision", "recall", "f1")
     )
+    cols = [*g, "threshold", "tp", "fp", "fn", "precision", "recall", "f1"]
+    return out.select(*cols, "pos_total", "neg_total") if g else out.select(*cols)
 
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
@@ -210,6 +224,11 @@ def classification_metrics(pred: DataFrame, label_col: str = "label",
         F.sum(F.when((y == 1) & (p == 0), 1).otherwise(0)).alias("fn"),
         F.sum(F.when((y == 0) & (p == 0), 1).otherwise(0)).alias("tn"),
     )
+    return metrics_from_confusion(counts)
+
+
+def metrics_from_confusion(counts: DataFrame, keep=()) -> DataFrame:
+    """Metric columns from confusion counts ``n, tp, fp, fn, tn``; ``keep`` columns pass through."""
     tp, fp, fn, tn, n = (F.col(c) for c in ("tp", "fp", "fn", "tn", "n"))
     prec1, rec1 = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn)
     prec0, rec0 = _safe_div(tn, tn + fn), _safe_div(tn, tn + fp)
@@ -223,6 +242,7 @@ def classification_metrics(pred: DataFrame, label_col: str = "label",
         prec1.alias("precision_purchase"),
         rec1.alias("recall_purchase"),
         F.when(base_rate > 0, prec1 / base_rate).alias("lift"),
+        *keep,
     )
 
 

@@ -354,10 +354,21 @@ def q_auc_ranksum(spark, sf):
 
 
 def q_classification_metrics(spark, sf):
-    t = M.best_threshold_value(_sweep(spark, sf))
-    test = _part(spark, sf, "test").withColumn(
-        "prediction", (F.col("purchase_probability") >= F.lit(t)).cast("int"))
-    return finish(M.classification_metrics(test).withColumn("decision_threshold", F.lit(t)))
+    """Tune on validation and evaluate on test from one pass: both splits are
+    swept together; the test row at the best validation threshold gives the
+    confusion counts."""
+    both = _split(spark, sf).filter(F.col("split").isin("val", "test"))
+    sweep = M.threshold_sweep(both, group_cols=["split"])
+    best = M.best_threshold(sweep.filter(F.col("split") == "val").drop("split", "pos_total", "neg_total")) \
+        .select(F.col("threshold").alias("decision_threshold"))
+    test = sweep.filter(F.col("split") == "test")
+    # ``best`` is one row by construction (limit 1): a fixed-size broadcast.
+    at = test.join(F.broadcast(best), test["threshold"] == best["decision_threshold"])
+    counts = at.select(
+        (F.col("pos_total") + F.col("neg_total")).alias("n"), "tp", "fp", "fn",
+        (F.col("neg_total") - F.col("fp")).alias("tn"), "decision_threshold",
+    )
+    return finish(M.metrics_from_confusion(counts, keep=["decision_threshold"]))
 
 
 def promotion_decision(spark, sf, rounded: bool = True):

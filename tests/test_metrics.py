@@ -105,3 +105,16 @@ def test_promotion_rule(spark):
     assert M.should_promote(0.8201, 0.80)
     df = spark.createDataFrame([(0.9, None), (0.81, 0.8), (0.9, 0.8)], "a double, b double")
     assert [r[0] for r in df.select(M.promote(F.col("a"), F.col("b"))).collect()] == [True, False, True]
+
+
+def test_grouped_sweep_equals_separate_sweeps(spark):
+    rnd = random.Random(9)
+    rows = [(g, int(rnd.random() < 0.35), round(rnd.random(), 2)) for g in ("val", "test") for _ in range(200)]
+    df = spark.createDataFrame(rows, "split string, label int, purchase_probability double")
+    grouped = M.threshold_sweep(df, group_cols=["split"])
+    for g in ("val", "test"):
+        alone = {tuple(r) for r in M.threshold_sweep(df.filter(F.col("split") == g)).collect()}
+        part = grouped.filter(F.col("split") == g).drop("split", "pos_total", "neg_total")
+        assert {tuple(r) for r in part.collect()} == alone
+        (tot,) = grouped.filter(F.col("split") == g).select("pos_total", "neg_total").distinct().collect()
+        assert tot.pos_total == sum(1 for s, y, _ in rows if s == g and y == 1)
