@@ -180,20 +180,37 @@ def best_threshold_value(sweep: DataFrame, default: float = 0.5) -> float:
     return float(row["threshold"]) if row is not None else default
 
 
+def _coarse_bins(per_score: DataFrame, n_bins: int) -> DataFrame:
+    """Adds ``c``: balanced, ordered bins over the *distinct* scores.
+
+    Fixed-width bins would put most scores of a rare-positive model (all near
+    0) into one bin, i.e. one hot window partition.  A range repartition on
+    the score samples the distinct scores for its boundaries (reusing the
+    shuffle that built them, no separate pass), puts equal scores in one
+    partition and orders partitions by score; the partition id is the bin.
+    """
+    return per_score.repartitionByRange(n_bins, "s").withColumn("c", F.spark_partition_id())
+
+
 def area_under_roc(scored: DataFrame, label_col: str = "label", score_col: str = "purchase_probability",
                    group_cols=(), coarse_bins: int = AUC_COARSE_BINS) -> DataFrame:
-    """Exact ROC AUC per group (Mann–Whitney, ties ½); null when a class is absent."""
+    """Exact ROC AUC per group (Mann–Whitney, ties ½); null when a class is absent.
+
+    Two-level prefix sum instead of a global sort: negatives below each
+    coarse bin (a window over at most ``coarse_bins`` rows per group) plus
+    negatives below each score inside its bin (a window per bin).
+    """
     g = list(group_cols)
     per_score = (
         scored.select(*g, F.col(score_col).cast("double").alias("s"), F.col(label_col).cast("int").alias("y"))
-        .filter(F.col("s").isNotNull() & F.col("y").isNotNull())
+        .filter(F.col("s").isNotNull() & ~F.isnan("s") & F.col("y").isNotNull())
         .groupBy(*g, "s")
         .agg(
             F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).cast("long").alias("pos"),
             F.sum(F.when(F.col("y") != 1, 1).otherwise(0)).cast("long").alias("neg"),
         )
-        .withColumn("c", F.floor(F.col("s") * F.lit(coarse_bins)))
     )
+    per_score = _coarse_bins(per_score, coarse_bins)
     coarse = per_score.groupBy(*g, "c").agg(F.sum("pos").alias("cpos"), F.sum("neg").alias("cneg"))
     before = Window.partitionBy(*g).orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
     coarse = coarse.withColumn("neg_before_bin", F.coalesce(F.sum("cneg").over(before), F.lit(0)))
