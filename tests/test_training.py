@@ -31,3 +31,21 @@ def test_threshold_installation_per_model_type(spark):
         assert clf.getOrDefault("weightCol") == "class_weight"
     assert TR.build_classifier("nonsense").__class__.__name__ == "LogisticRegression"
     assert hasattr(LogisticRegressionModel, "setThreshold")
+
+
+def test_installed_threshold_drives_predictions(spark):
+    from pyspark.sql import functions as F
+    from clickpath.operators.metrics import class_weights
+    from clickpath.operators.sessions import session_features
+    from clickpath.sources.testdata import adapted_events
+    from conftest import SF_SMALL
+
+    sessions = class_weights(session_features(adapted_events(spark, SF_SMALL), "12 hours"))
+    for model_type in ("logistic_regression", "random_forest"):
+        model = TR.build_pipeline(model_type).fit(sessions)
+        for t in (0.3, 0.7):
+            TR.install_threshold(model, t)
+            scored = TR.purchase_probability(model.transform(sessions))
+            # predicted positive exactly when P(purchase) clears the installed threshold
+            wrong = scored.filter((F.col("prediction") == 1) != (F.col("purchase_probability") > t)).count()
+            assert wrong == 0, (model_type, t)
