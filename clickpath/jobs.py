@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +59,7 @@ def consume(args) -> None:
     start_archive(events(), args.archive, f"{ck}/archive", args.archive_trigger)
     start_scoring(events(), champion=ChampionCache(args.registry, args.poll_seconds),
                   predictions_path=args.predictions, metrics_path=args.metrics, checkpoint=f"{ck}/scoring",
-                  run_id=args.run_id or uuid.uuid4().hex[:12], gap=args.gap, watermark=args.watermark,
+                  run_id=args.run_id, gap=args.gap, watermark=args.watermark,
                   distinct=args.distinct, trigger=args.scoring_trigger,
                   pending_path=args.pending)
     spark.streams.awaitAnyTermination()

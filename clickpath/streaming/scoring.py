@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
 from dataclasses import dataclass, field
@@ -107,11 +108,22 @@ def score_batch(batch: DataFrame, batch_id: int, *, champion: ChampionCache, pre
         batch.unpersist()
 
 
+def run_id_for(checkpoint: str) -> str:
+    """A run id that stays the same across restarts from one checkpoint.
+
+    ``batch_id`` restarts at 0 only with a new checkpoint, so (checkpoint,
+    batch_id) names a micro-batch uniquely; a retried batch after a restart
+    therefore overwrites its own partition instead of adding a copy.
+    """
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def start_scoring(events: DataFrame, *, champion: ChampionCache, predictions_path: str, metrics_path: str,
-                  checkpoint: str, run_id: str, gap: str = DEFAULT_GAP, watermark: str = DEFAULT_GAP,
+                  checkpoint: str, run_id: str | None = None, gap: str = DEFAULT_GAP, watermark: str = DEFAULT_GAP,
                   distinct: str = "sketch", trigger: str | None = SCORING_TRIGGER, available_now: bool = False,
                   pending_path: str | None = None) -> StreamingQuery:
     sessions = stream_session_features(events, gap, watermark, distinct=distinct)
+    run_id = run_id or run_id_for(checkpoint)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         score_batch(batch_df, batch_id, champion=champion, predictions_path=predictions_path,

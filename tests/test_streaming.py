@@ -152,3 +152,30 @@ def test_archive_and_scoring_run_side_by_side(spark, scratch, champion_registry)
     assert spark.read.parquet(lake).count() == ev.count()
     assert spark.read.parquet(os.path.join(scratch, "pred")).count() > 0
     assert archive.lastProgress["batchId"] != scoring.lastProgress["batchId"]
+
+
+def test_scoring_restart_keeps_one_copy_per_session(spark, scratch, champion_registry):
+    """Stop after some files, restart on the same checkpoint: each session scored once."""
+    reg, _ = champion_registry
+    full = os.path.join(scratch, "full")
+    write_message_files(spark, full)
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    preds, mets, ck = (os.path.join(scratch, x) for x in ("pred", "met", "ck"))
+
+    def run():
+        q = SC.start_scoring(event_stream(message_stream(spark, src, max_files_per_trigger=1)),
+                             champion=SC.ChampionCache(reg, poll_seconds=0), predictions_path=preds,
+                             metrics_path=mets, checkpoint=ck, available_now=True)
+        q.awaitTermination(300)
+
+    names = sorted(os.listdir(full))
+    for i, name in enumerate(names):
+        os.link(os.path.join(full, name), os.path.join(src, name))
+        if i in (2, len(names) - 1):
+            run()
+    p = spark.read.parquet(preds)
+    assert p.count() == p.dropDuplicates(["user_session", "event_time"]).count() > 0
+    assert p.select("run_id").distinct().count() == 1
+    counters = {r.metric_key: r.metric_value for r in SC.running_counters(spark, mets).collect()}
+    assert counters["total_predictions"] == p.count()
