@@ -1,7 +1,8 @@
 """Command line jobs: one training cycle, the streaming consumer, monitor reports.
 
     python -m clickpath.jobs train   --raw-csv DIR --lake DIR [--stream DIR] --models DIR --registry DIR
-    python -m clickpath.jobs consume --source DIR|TOPIC [--kafka HOST:PORT] --archive DIR --predictions DIR
+    python -m clickpath.jobs consume --source DIR|TOPIC [--kafka HOST:PORT | --source-format csv]
+                                     --archive DIR --predictions DIR
                                      --metrics DIR --checkpoints DIR --registry DIR
     python -m clickpath.jobs monitor --predictions DIR --metrics DIR --registry DIR
 
@@ -39,7 +40,7 @@ def train(args) -> dict:
 def consume(args) -> None:
     from .streaming.archive import start_archive
     from .streaming.scoring import ChampionCache, start_scoring
-    from .streaming.sources import event_stream, message_stream
+    from .streaming.sources import csv_event_stream, event_stream, message_stream
 
     spark = _spark("clickpath-consume")
     # Session state grows with open sessions: keep it in RocksDB (off-heap,
@@ -48,9 +49,11 @@ def consume(args) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if not spark.conf.get(key, None):
         spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    fmt = "kafka" if args.kafka else "text"
+    fmt = "kafka" if args.kafka else args.source_format
 
     def events():
+        if fmt == "csv":
+            return csv_event_stream(spark, args.source, args.max_files_per_trigger)
         return event_stream(message_stream(spark, args.source, fmt, bootstrap=args.kafka,
                                            max_per_trigger=args.max_per_trigger,
                                            max_files_per_trigger=args.max_files_per_trigger))
@@ -108,6 +111,8 @@ def main(argv=None):
     c = sub.add_parser("consume")
     c.add_argument("--source", required=True)
     c.add_argument("--kafka")
+    c.add_argument("--source-format", default="text", choices=["text", "csv"],
+                   help="text: one JSON message per line; csv: raw event CSV files with a header")
     c.add_argument("--archive", required=True)
     c.add_argument("--predictions", required=True)
     c.add_argument("--metrics", required=True)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.sanitize import parse_event_time
+from ..schema import WIRE_EVENT_SCHEMA
 from ..sources.events import clean_events, decode_events
 
 MESSAGE_SCHEMA = StructType([StructField("value", StringType(), True)])
@@ -39,3 +41,16 @@ def message_stream(spark: SparkSession, source: str, fmt: str = "text", *,
 def event_stream(messages: DataFrame) -> DataFrame:
     """Decode (bad JSON → null row) and clean (drop rows without time/key)."""
     return clean_events(decode_events(messages, "value"))
+
+
+def csv_event_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
+                     header: bool = True) -> DataFrame:
+    """Raw event CSV files dropped into a folder, as a clean event stream
+    (same explicit schema and time format as the batch CSV scan)."""
+    from pyspark.sql import functions as F
+
+    reader = spark.readStream.schema(WIRE_EVENT_SCHEMA).option("header", str(header).lower())
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(source)
+    return clean_events(raw.withColumn("event_time", parse_event_time(F.col("event_time"))))

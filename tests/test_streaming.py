@@ -179,3 +179,21 @@ def test_scoring_restart_keeps_one_copy_per_session(spark, scratch, champion_reg
     assert p.select("run_id").distinct().count() == 1
     counters = {r.metric_key: r.metric_value for r in SC.running_counters(spark, mets).collect()}
     assert counters["total_predictions"] == p.count()
+
+
+def test_csv_drop_folder_stream_matches_batch_scan(spark, scratch):
+    from clickpath.sources.events import read_event_csv
+    from clickpath.sources.testdata import raw_csv_path
+    from clickpath.streaming.sources import csv_event_stream
+
+    csv = raw_csv_path(spark, SF_SMALL)
+    feats = stream_session_features(csv_event_stream(spark, csv), distinct="exact")
+    q = (feats.writeStream.format("memory").queryName("csv_stream").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.table("csv_stream").drop("session")
+    batch = read_event_csv(spark, csv)
+    wm = batch.agg(F.max("event_time")).first()[0] - datetime.timedelta(minutes=30)
+    closed = session_features(batch, with_label=False).filter(F.col("session.end") <= F.lit(wm)).drop("session")
+    assert got.count() == closed.count() > 0
+    assert got.exceptAll(closed.select(*got.columns)).count() == 0
