@@ -92,20 +92,27 @@ cuts as (
          lo + cast(trunc(cast(hi - lo as double) * (0.6::double + 0.15::double)) as bigint) as val_cut
   from bounds),
 labelled as (
-  select s.*, case when s.ss <= c.train_cut then 'train' when s.ss <= c.val_cut then 'val' else 'test' end as split
-  from scored2 s, cuts c)"""
+  select s.*, case when s.ss <= (select train_cut from cuts) then 'train'
+                   when s.ss <= (select val_cut from cuts) then 'val' else 'test' end as split
+  from scored2 s)"""
 
 THRESHOLDS = "(select i, round(0.05 * i, 2)::double as threshold from range(1, 20) r(i))"
 
 SWEEP = f"""{SCORED},
 val as (select * from labelled where split = 'val'),
 grid as {THRESHOLDS},
+hist as (
+  -- threshold i (t = 5i %) is cleared by score_pct >= 5i, i.e. by rows whose
+  -- bin least(score_pct // 5, 19) is at least i
+  select least(score_pct // 5, 19) as b,
+         count(*) filter (where label = 1) as pos, count(*) filter (where label = 0) as neg
+  from val group by 1),
 counts as (
   select g.threshold,
-         count(v.label) filter (where v.score_pct >= 5 * g.i and v.label = 1) as tp,
-         count(v.label) filter (where v.score_pct >= 5 * g.i and v.label = 0) as fp,
-         count(v.label) filter (where v.score_pct < 5 * g.i and v.label = 1) as fn
-  from grid g left join val v on true
+         cast(coalesce(sum(h.pos), 0) as bigint) as tp,
+         cast(coalesce(sum(h.neg), 0) as bigint) as fp,
+         cast((select count(*) from val where label = 1) - coalesce(sum(h.pos), 0) as bigint) as fn
+  from grid g left join hist h on h.b >= g.i
   group by g.threshold),
 sweep as (
   select threshold, tp, fp, fn,
@@ -172,11 +179,11 @@ eb as (select min(epoch_us(event_time) // 1000000) as lo, max(epoch_us(event_tim
 ec as (select lo + cast(trunc(cast(hi - lo as double) * 0.5::double) as bigint) as mid,
               lo + cast(trunc(cast(hi - lo as double) * 0.75::double) as bigint) as tail from eb),
 evs as (select ev.*, epoch_us(event_time) // 1000000 as es from ev),
-baseline as (select {CORE} from evs, ec where es <= mid),
+baseline as (select {CORE} from evs where es <= (select mid from ec)),
 streamed as (
-  select {CORE} from evs, ec where es > mid
+  select {CORE} from evs where es > (select mid from ec)
   union all
-  select {CORE} from evs, ec where es > tail)"""
+  select {CORE} from evs where es > (select tail from ec))"""
 
 SAN_LONG = """case when {c} is null or lower(trim({c})) in ('', 'null', 'none', 'n/a') then null
      when regexp_full_match(trim({c}), '[+-]?[0-9]+') then try_cast(trim({c}) as bigint)
@@ -279,7 +286,8 @@ def oracle_sql() -> dict[str, str]:
         r as (select case when coalesce(sum(n) filter (where label = 1), 0) > 0
                           then coalesce(sum(n) filter (where label = 0), 0) / sum(n) filter (where label = 1)
                           else 1.0 end as ratio from cb)
-        select label, n, round(case when label = 1 then ratio else 1.0 end, 6) as class_weight from cb, r""")
+        select label, n, round(case when label = 1 then (select ratio from r) else 1.0 end, 6) as class_weight
+        from cb""")
     q["purchase_rate"] = _sql(feat30, """select count(*) as n_sessions, cast(sum(label) as bigint) as n_purchased,
         round(100.0 * cast(sum(label) as double) / greatest(count(*), 1), 6) as purchase_pct from sfeat""")
     q["threshold_sweep"] = _sql(SWEEP, "select threshold, tp, fp, fn, round(precision, 6) as precision, "
