@@ -219,6 +219,10 @@ wire as (
   from ev)"""
 
 
+# The JSON wire carries event times to the second.
+EV_SEC = EV.replace("ts as event_time", "date_trunc('second', ts) as event_time")
+
+
 def _sql(ctes: str, body: str) -> str:
     return f"with {ctes}\n{body}"
 
@@ -353,6 +357,13 @@ def oracle_sql() -> dict[str, str]:
         select minute_ts, strftime(minute_ts, '%m-%d %H:%M') as minute, total, purchases,
                round(case when total > 0 then round(purchases / total * 100, 1) else 0.0 end, 6) as purchase_rate
         from b""")
+    q["stream_sessions"] = _sql(f"{EV_SEC},\n{sessions_cte('30 minute')}", f"""select
+        user_session, window_start, window_end, session_start, session_end, view_count, cart_count, remove_count,
+        distinct_products, distinct_categories, distinct_brands, round(avg_price, 6) as avg_price,
+        round(max_price, 6) as max_price, session_duration_sec, has_cart
+        from sfeat where window_end <= (select max(event_time) from ev) - interval 30 minute""")
+    q["archive_stream"] = _sql(EV_SEC, "select event_type, cast(event_time as date) as event_date, "
+                                       "count(*) as n_events from ev group by 1, 2")
     q["recent_predictions"] = _sql(PREDICTIONS, """select user_session, round(purchase_probability, 6)
         as purchase_probability, predicted_label, model_version, scored_at from pred
         order by scored_at desc, user_session asc, event_time desc limit 20""")

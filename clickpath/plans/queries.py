@@ -438,6 +438,49 @@ def q_recent_predictions(spark, sf):
     return finish(MON.recent_predictions(predictions(spark, sf)))
 
 
+# --------------------------------------------------------------------------
+# streaming (stateful operators run to completion over the derived message files)
+# --------------------------------------------------------------------------
+
+def _run_dir(spark: SparkSession, sf: str, name: str) -> str:
+    import uuid
+    return work_path(spark, T._fingerprint(sf), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def q_stream_sessions(spark, sf):
+    """Every event as a JSON message → stateful ``session_window`` with a
+    30-minute watermark (append) → Parquet file sink.  One trigger takes all
+    files, then the watermark (newest event − 30 min) closes every session
+    ending at or before it; those rows are the result."""
+    from ..streaming.sources import event_stream, message_stream
+
+    prepare(spark)
+    run = _run_dir(spark, sf, "sessions")
+    feats = S.stream_session_features(event_stream(message_stream(spark, T.messages_path(spark, sf))),
+                                      GAP, GAP, distinct="exact")
+    flat = feats.select(*_window_cols(feats), *[c for c in feats.columns if c not in ("user_session", "session")])
+    q = (flat.writeStream.format("parquet").option("path", f"{run}/out")
+         .option("checkpointLocation", f"{run}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return finish(spark.read.parquet(f"{run}/out"))
+
+
+def q_archive_stream(spark, sf):
+    """Every event as a JSON message → archive sink partitioned by type and
+    date → read back with partition discovery; events per partition."""
+    from ..streaming.archive import start_archive
+    from ..streaming.sources import event_stream, message_stream
+
+    prepare(spark)
+    run = _run_dir(spark, sf, "archive")
+    q = start_archive(event_stream(message_stream(spark, T.messages_path(spark, sf))), f"{run}/lake",
+                      f"{run}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/lake").groupBy("event_type", "event_date").agg(
+        F.count(F.lit(1)).alias("n_events"))
+
+
 # --------------------------------------------------------------------------
 # MLlib (rows-only checks; fitted values are not SQL-expressible)
 # --------------------------------------------------------------------------

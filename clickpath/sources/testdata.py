@@ -192,3 +192,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed JSON messages of every event (what sits on the topic)."""
     ev = adapted_events(spark, sf_dir)
     return ev.select(F.col("user_session").alias("key"), event_json(ev).alias("value"))
+
+
+def messages_path(spark: SparkSession, sf_dir: str) -> str:
+    """The JSON message values as text files (one message per line)."""
+    return materialized(spark, sf_dir, "messages", lambda: messages(spark, sf_dir).select("value"), "text")
