@@ -481,6 +481,29 @@ def q_archive_stream(spark, sf):
         F.count(F.lit(1)).alias("n_events"))
 
 
+def q_stream_scoring(spark, sf):
+    """The scoring stream end to end: a logistic regression champion is fitted,
+    saved and registered; the message files stream through the stateful
+    session features into ``foreachBatch`` scoring with idempotent sinks; the
+    predictions table is the result (rows-only: the scores are model values)."""
+    from . import training as TR
+    from ..streaming import scoring as SC
+    from ..streaming.sources import event_stream, message_stream
+
+    prepare(spark)
+    run = _run_dir(spark, sf, "scoring")
+    model, _, _ = TR.fit_and_tune(sessions(spark, sf, LONG_GAP), "logistic_regression")
+    model.write().overwrite().save(f"{run}/models/v1")
+    REG.append_registry(spark, f"{run}/registry", hdfs_path=f"{run}/models/v1", version="v1",
+                        trained_on=sf, metrics={}, promoted=True)
+    q = SC.start_scoring(event_stream(message_stream(spark, T.messages_path(spark, sf))),
+                         champion=SC.ChampionCache(f"{run}/registry", poll_seconds=0),
+                         predictions_path=f"{run}/predictions", metrics_path=f"{run}/metrics",
+                         checkpoint=f"{run}/checkpoint", distinct="exact", available_now=True)
+    q.awaitTermination()
+    return finish(spark.read.parquet(f"{run}/predictions").drop("run_id", "batch_id"))
+
+
 # --------------------------------------------------------------------------
 # MLlib (rows-only checks; fitted values are not SQL-expressible)
 # --------------------------------------------------------------------------

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
-RAW_ONLY = {"approx_distincts", "train_lr", "train_rf", "train_gbt", "score_sessions"}
+RAW_ONLY = {"approx_distincts", "train_lr", "train_rf", "train_gbt", "score_sessions", "stream_scoring"}
 
 
 def test_entry_runs(spark):

@@ -9,7 +9,7 @@ from clickpath.sources.testdata import adapted_events
 from conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct")
-ML_KEYS = {"train_lr", "train_rf", "train_gbt", "score_sessions"}
+ML_KEYS = {"train_lr", "train_rf", "train_gbt", "score_sessions", "stream_scoring"}
 
 
 def physical(df) -> str:
