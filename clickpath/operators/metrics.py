@@ -7,8 +7,9 @@
   (map-side combine, at most T+1 bins × 2 labels), and cumulative sums over
   the bins give every threshold at once;
 * :func:`area_under_roc` is the exact rank-sum AUC (ties count one half)
-  without a global sort: a prefix sum over coarse score bins (bounded table)
-  plus a prefix sum inside each bin;
+  without a global sort: a prefix sum over balanced, ordered coarse bins of
+  the distinct scores (a range repartition; bounded table) plus a prefix sum
+  inside each bin;
 * :func:`classification_metrics` gives accuracy, weighted precision/recall
   and the purchase-class precision/recall from one conditional aggregate.
 """
