@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,14 +163,25 @@ def _fingerprint(sf_dir: str) -> str:
     return hashlib.sha1(stamp.encode()).hexdigest()[:16]
 
 
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build, fmt: str, **opts) -> str:
-    """Write ``build()`` once into the shared work folder; reuse finished writes."""
+    """Write ``build()`` once into the shared work folder; reuse finished writes.
+
+    Builders running in parallel threads of one driver wait for each other on
+    the same path instead of overwriting each other's write.
+    """
     path = work_path(spark, _fingerprint(sf_dir), name)
-    if not write_complete(spark, path):
-        writer = build().write.mode("overwrite")
-        for key, val in opts.items():
-            writer = writer.option(key, val)
-        getattr(writer, fmt)(path)
+    with _LOCKS_GUARD:
+        lock = _LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if not write_complete(spark, path):
+            writer = build().write.mode("overwrite")
+            for key, val in opts.items():
+                writer = writer.option(key, val)
+            getattr(writer, fmt)(path)
     return path
 
 
