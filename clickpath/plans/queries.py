@@ -184,7 +184,9 @@ def q_lake_scan(spark, sf):
     prepare(spark)
     src = E.read_event_csv(spark, T.raw_csv_path(spark, sf))
     path = work_path(spark, T._fingerprint(sf), "lake_by_event_type")
-    return finish(L.load_or_create_lake(spark, src, path, partition_by=("event_type",)))
+    with T.path_lock(path):
+        lake = L.load_or_create_lake(spark, src, path, partition_by=("event_type",))
+    return finish(lake)
 
 
 def q_decode_events(spark, sf):

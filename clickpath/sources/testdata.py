@@ -167,6 +167,12 @@ _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
 
+def path_lock(path: str) -> threading.Lock:
+    """One lock per derived path within this driver."""
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.Lock())
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build, fmt: str, **opts) -> str:
     """Write ``build()`` once into the shared work folder; reuse finished writes.
 
@@ -174,9 +180,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, fmt: str, *
     the same path instead of overwriting each other's write.
     """
     path = work_path(spark, _fingerprint(sf_dir), name)
-    with _LOCKS_GUARD:
-        lock = _LOCKS.setdefault(path, threading.Lock())
-    with lock:
+    with path_lock(path):
         if not write_complete(spark, path):
             writer = build().write.mode("overwrite")
             for key, val in opts.items():
