@@ -4,6 +4,7 @@
     python -m clickpath.jobs consume --source DIR|TOPIC [--kafka HOST:PORT | --source-format csv]
                                      --archive DIR --predictions DIR
                                      --metrics DIR --checkpoints DIR --registry DIR
+    python -m clickpath.jobs release --pending DIR --predictions DIR --metrics DIR --registry DIR
     python -m clickpath.jobs monitor --predictions DIR --metrics DIR --registry DIR
 
 Paths are on the cluster's shared file system; checkpoints must be too.
@@ -68,6 +69,16 @@ def consume(args) -> None:
     spark.streams.awaitAnyTermination()
 
 
+def release(args) -> int:
+    from .streaming.scoring import ChampionCache, release_pending
+
+    spark = _spark("clickpath-release")
+    n = release_pending(spark, champion=ChampionCache(args.registry), pending_path=args.pending,
+                        predictions_path=args.predictions, metrics_path=args.metrics)
+    print(json.dumps({"released": n}))
+    return n
+
+
 def monitor(args) -> dict:
     from .operators import monitor as MON
     from .operators import registry as REG
@@ -129,6 +140,12 @@ def main(argv=None):
     c.add_argument("--scoring-trigger", default="30 seconds")
     c.add_argument("--poll-seconds", type=float, default=30)
     c.set_defaults(fn=consume)
+    r = sub.add_parser("release", help="score sessions held while no champion existed")
+    r.add_argument("--pending", required=True)
+    r.add_argument("--predictions", required=True)
+    r.add_argument("--metrics", required=True)
+    r.add_argument("--registry", required=True)
+    r.set_defaults(fn=release)
     m = sub.add_parser("monitor")
     m.add_argument("--predictions", required=True)
     m.add_argument("--metrics", required=True)

@@ -25,9 +25,10 @@ def _since(as_of, minutes: int) -> Column:
     return F.col("scored_at") >= _as_of(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
 
 
-def batch_metrics(predictions: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Per scoring batch: rows written and predicted purchases."""
-    return predictions.groupBy(batch_col).agg(
+def batch_metrics(predictions: DataFrame, batch_col="batch_id") -> DataFrame:
+    """Per scoring batch (one column or a list): rows written and predicted purchases."""
+    cols = [batch_col] if isinstance(batch_col, str) else list(batch_col)
+    return predictions.groupBy(*cols).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(F.col("predicted_label").cast("int")).cast("long").alias("purchases"),
     )

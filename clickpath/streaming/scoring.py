@@ -71,6 +71,31 @@ def _write_partitioned(df: DataFrame, path: str) -> None:
     )
 
 
+def _score(sessions: DataFrame, model: PipelineModel, version: str, *, run_id=None, batch_id=None) -> DataFrame:
+    """Prediction rows; ``run_id``/``batch_id`` are literals or, if None, the input's own columns."""
+    return purchase_probability(model.transform(sessions)).select(
+        "user_session",
+        F.col("session_end").alias("event_time"),
+        "purchase_probability",
+        F.col("prediction").cast("boolean").alias("predicted_label"),
+        F.lit(version).alias("model_version"),
+        F.current_timestamp().alias("scored_at"),
+        (F.col("run_id") if run_id is None else F.lit(run_id)).alias("run_id"),
+        (F.col("batch_id") if batch_id is None else F.lit(batch_id)).cast("long").alias("batch_id"),
+    )
+
+
+def _write_scored(scored: DataFrame, predictions_path: str, metrics_path: str) -> int:
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _write_partitioned(scored, predictions_path)
+        counts = MON.batch_metrics(scored, ["run_id", "batch_id"])
+        _write_partitioned(counts, metrics_path)
+        return counts.agg(F.sum("total")).first()[0] or 0
+    finally:
+        scored.unpersist()
+
+
 def score_batch(batch: DataFrame, batch_id: int, *, champion: ChampionCache, predictions_path: str,
                 metrics_path: str, run_id: str, pending_path: str | None = None) -> int:
     """Score one micro-batch of closed sessions; returns rows written."""
@@ -87,27 +112,29 @@ def score_batch(batch: DataFrame, batch_id: int, *, champion: ChampionCache, pre
     try:
         if batch.isEmpty():
             return 0
-        scored = purchase_probability(model.transform(batch)).select(
-            "user_session",
-            F.col("session_end").alias("event_time"),
-            "purchase_probability",
-            F.col("prediction").cast("boolean").alias("predicted_label"),
-            F.lit(version).alias("model_version"),
-            F.current_timestamp().alias("scored_at"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(batch_id).cast("long").alias("batch_id"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            _write_partitioned(scored, predictions_path)
-            counts = MON.batch_metrics(scored.drop("run_id"), "batch_id").withColumn("run_id", F.lit(run_id))
-            _write_partitioned(counts, metrics_path)
-            return counts.agg(F.sum("total")).first()[0] or 0
-        finally:
-            scored.unpersist()
+        return _write_scored(_score(batch, model, version, run_id=run_id, batch_id=batch_id),
+                             predictions_path, metrics_path)
     finally:
         batch.unpersist()
 
 
+def release_pending(spark: SparkSession, *, champion: ChampionCache, pending_path: str, predictions_path: str,
+                    metrics_path: str) -> int:
+    """Score every held session with the current champion in one pass.
+
+    Rows keep their original ``(run_id, batch_id)``, so the predictions land in
+    the partitions those batches would have written; releasing twice rewrites
+    the same partitions (no duplicates).  Returns rows written.
+    """
+    from ..sources.lake import read_lake_if_present
+
+    champion.refresh(spark, force=True)
+    held = read_lake_if_present(spark, pending_path)
+    if champion.model is None or held is None:
+        return 0
+    return _write_scored(_score(held, champion.model, champion.version), predictions_path, metrics_path)
+
+
 def run_id_for(checkpoint: str) -> str:
     """A run id that stays the same across restarts from one checkpoint.
 

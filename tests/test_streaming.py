@@ -197,3 +197,22 @@ def test_csv_drop_folder_stream_matches_batch_scan(spark, scratch):
     closed = session_features(batch, with_label=False).filter(F.col("session.end") <= F.lit(wm)).drop("session")
     assert got.count() == closed.count() > 0
     assert got.exceptAll(closed.select(*got.columns)).count() == 0
+
+
+def test_held_sessions_are_released_once_a_champion_exists(spark, scratch, champion_registry):
+    reg, _ = champion_registry
+    batch = session_features(adapted_events(spark, SF_SMALL), with_label=False)
+    held, preds, mets = (os.path.join(scratch, x) for x in ("held", "pred", "met"))
+    nobody = SC.ChampionCache(os.path.join(scratch, "empty_registry"), poll_seconds=0)
+    for b in (3, 4):
+        SC.score_batch(batch, b, champion=nobody, predictions_path=preds, metrics_path=mets, run_id="r",
+                       pending_path=held)
+    champ = SC.ChampionCache(reg, poll_seconds=0)
+    n = batch.count()
+    for _ in range(2):  # releasing twice rewrites the same partitions
+        assert SC.release_pending(spark, champion=champ, pending_path=held, predictions_path=preds,
+                                  metrics_path=mets) == 2 * n
+        p = spark.read.parquet(preds)
+        assert p.count() == 2 * n and sorted(r.batch_id for r in p.select("batch_id").distinct().collect()) == [3, 4]
+    counters = {r.metric_key: r.metric_value for r in SC.running_counters(spark, mets).collect()}
+    assert counters["total_predictions"] == 2 * n
