@@ -60,12 +60,17 @@ def consume(args) -> None:
                                            max_files_per_trigger=args.max_files_per_trigger))
 
     ck = args.checkpoints.rstrip("/")
-    start_archive(events(), args.archive, f"{ck}/archive", args.archive_trigger)
-    start_scoring(events(), champion=ChampionCache(args.registry, args.poll_seconds),
-                  predictions_path=args.predictions, metrics_path=args.metrics, checkpoint=f"{ck}/scoring",
-                  run_id=args.run_id, gap=args.gap, watermark=args.watermark,
-                  distinct=args.distinct, trigger=args.scoring_trigger,
-                  pending_path=args.pending)
+    once = bool(args.available_now)
+    archive = start_archive(events(), args.archive, f"{ck}/archive", args.archive_trigger, available_now=once)
+    scoring = start_scoring(events(), champion=ChampionCache(args.registry, args.poll_seconds),
+                            predictions_path=args.predictions, metrics_path=args.metrics,
+                            checkpoint=f"{ck}/scoring", run_id=args.run_id, gap=args.gap,
+                            watermark=args.watermark, distinct=args.distinct, trigger=args.scoring_trigger,
+                            available_now=once, pending_path=args.pending)
+    if once:  # catch up on everything available, then exit
+        archive.awaitTermination()
+        scoring.awaitTermination()
+        return
     spark.streams.awaitAnyTermination()
 
 
@@ -139,6 +144,8 @@ def main(argv=None):
     c.add_argument("--archive-trigger", default="60 seconds")
     c.add_argument("--scoring-trigger", default="30 seconds")
     c.add_argument("--poll-seconds", type=float, default=30)
+    c.add_argument("--available-now", action="store_true",
+                   help="process everything available in both queries, then exit")
     c.set_defaults(fn=consume)
     r = sub.add_parser("release", help="score sessions held while no champion existed")
     r.add_argument("--pending", required=True)

@@ -27,3 +27,28 @@ def test_train_job_then_monitor(spark, scratch):
                      os.path.join(scratch, "met"), "--registry", os.path.join(scratch, "reg")])
     assert rep["headline"]["total_predictions"] == n
     assert rep["champion"]["version"] == out["version"] and rep["models_trained"] == 1
+
+
+def test_consume_job_catches_up_and_exits(spark, scratch):
+    from clickpath.sources.testdata import raw_csv_path
+    from clickpath.operators import registry as REG
+    from clickpath.operators.sessions import session_features
+    from clickpath.plans import training as TR
+    from clickpath.sources.events import read_event_csv
+    from conftest import SF_SMALL
+
+    csv = raw_csv_path(spark, SF_SMALL)
+    model, _, _ = TR.fit_and_tune(session_features(read_event_csv(spark, csv), "12 hours"))
+    model.write().overwrite().save(os.path.join(scratch, "m1"))
+    reg = os.path.join(scratch, "reg")
+    REG.append_registry(spark, reg, hdfs_path=os.path.join(scratch, "m1"), version="m1", trained_on="x",
+                        metrics={}, promoted=True)
+    paths = {k: os.path.join(scratch, k) for k in ("archive", "pred", "met", "ck")}
+    jobs.main(["consume", "--source", csv, "--source-format", "csv", "--archive", paths["archive"],
+               "--predictions", paths["pred"], "--metrics", paths["met"], "--checkpoints", paths["ck"],
+               "--registry", reg, "--poll-seconds", "0", "--distinct", "exact", "--available-now"])
+    assert spark.read.parquet(paths["archive"]).count() == read_event_csv(spark, csv).count()
+    n = spark.read.parquet(paths["pred"]).count()
+    assert n > 0
+    rep = jobs.main(["monitor", "--predictions", paths["pred"], "--metrics", paths["met"], "--registry", reg])
+    assert rep["headline"]["total_predictions"] == n and rep["champion"]["version"] == "m1"
