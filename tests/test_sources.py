@@ -121,3 +121,22 @@ def test_sanitize_long_is_exact_for_integer_text(spark, vals):
     texts = [fmt.format(v) for v, fmt in vals]
     got = [r[0] for r in one_col(spark, texts).select(sanitize_long(F.col("s"))).collect()]
     assert got == [v for v, _ in vals]
+
+
+def test_bounded_replay_matches_full_sort_on_driver_table(spark):
+    from clickpath.sources.testdata import adapted_events
+    from conftest import SF_MED
+
+    ev = adapted_events(spark, SF_MED)
+    order = [F.col("event_time")] + [F.col(c).asc_nulls_first() for c in CORE_COLUMNS if c != "event_time"]
+    for n in (1, 777, 5000, 9999, 10000, 20000):
+        got = E.bounded_replay(ev, n)
+        want = ev.orderBy(*order).limit(n)
+        assert got.count() == min(n, 10000)
+        assert got.exceptAll(want).count() == 0, n
+
+
+def test_bounded_replay_ties_inside_the_cut_minute(spark):
+    # 5 events in one second of one minute, cap inside them: ties broken by the other columns
+    df = events_df(spark, [ev(10, product=p) for p in (5, 3, 9, 1, 7)] + [ev(0, product=0)])
+    assert sorted(r.product_id for r in E.bounded_replay(df, 3).collect()) == [0, 1, 3]
