@@ -105,9 +105,12 @@ def trend(predictions: DataFrame, as_of, limit_minutes: int = TREND_MINUTES) ->
 
 def recent_predictions(predictions: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
     """Newest ``n`` rows (ties broken by session and event time)."""
-    return predictions.orderBy(
-        F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()
-    ).limit(n).select("user_session", "purchase_probability", "predicted_label", "model_version", "scored_at")
+    from .topk import first_n_by_time
+
+    newest = first_n_by_time(predictions, n, "scored_at",
+                             [F.col("user_session").asc(), F.col("event_time").desc()], newest_first=True)
+    return newest.orderBy(F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()) \
+        .select("user_session", "purchase_probability", "predicted_label", "model_version", "scored_at")
 
 
 def as_of_latest(predictions: DataFrame) -> dt.datetime | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -91,37 +91,9 @@ def clean_events(events: DataFrame) -> DataFrame:
 
 
 def bounded_replay(events: DataFrame, n: int = 30000) -> DataFrame:
-    """The first ``n`` events in time order (intake cap; ties broken by all columns).
+    """The first ``n`` events in time order (intake cap; ties broken by all
+    columns), without an n-rows-per-partition merge (see ``operators.topk``)."""
+    from ..operators.topk import first_n_by_time
 
-    A plain ``orderBy().limit(n)`` sends every input partition's top ``n``
-    rows to one merge task (``n`` × partitions rows).  Instead:
-
-    1. count events per minute (a table bounded by the time span) and find
-       the minute in which the running count reaches ``n``;
-    2. every event before that minute is in the result (fewer than ``n``);
-    3. only the remaining ``n - before`` rows are taken, in full order, from
-       that one minute.
-    """
-    order = [F.col("event_time").asc_nulls_last()] + [
-        F.col(c).asc_nulls_first() for c in CORE_COLUMNS if c != "event_time"
-    ]
-    minute = F.date_trunc("minute", F.col("event_time"))
-    per_minute = events.groupBy(minute.alias("m")).agg(F.count(F.lit(1)).alias("k"))
-    # Bounded by the number of distinct minutes, not by events: a small window.
-    running = Window.orderBy(F.col("m").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (
-        per_minute.withColumn("upto", F.sum("k").over(running))
-        .filter(F.col("upto") >= n)
-        .orderBy(F.col("m").asc_nulls_last())
-        .select("m", (F.col("upto") - F.col("k")).alias("before"))
-        .first()
-    )
-    if cut is None:  # fewer than n events in total
-        return events
-    if cut["m"] is None:  # the cap falls among rows without a time
-        return events.filter(F.col("event_time").isNotNull()).unionByName(
-            events.filter(F.col("event_time").isNull()).orderBy(*order).limit(n - cut["before"]))
-    start = F.lit(cut["m"]).cast("timestamp")
-    head = events.filter(F.col("event_time") < start)
-    edge = events.filter(minute == start).orderBy(*order).limit(n - cut["before"])
-    return head.unionByName(edge)
+    tie_break = [F.col(c).asc_nulls_first() for c in CORE_COLUMNS if c != "event_time"]
+    return first_n_by_time(events, n, "event_time", tie_break)

@@ -84,3 +84,21 @@ def test_registry_append_log(spark, scratch):
                         promoted=False, created_at=dt.datetime(2026, 1, 2))
     log = REG.read_registry(spark, path)
     assert log.count() == 2 and REG.active_champion(log).first().version == "a"
+
+
+def test_recent_predictions_equal_full_sort(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(4)
+    data = [(f"s{rnd.randint(0, 30)}", NOW - dt.timedelta(seconds=rnd.randint(0, 500)), rnd.random(), True, "v",
+             NOW - dt.timedelta(seconds=rnd.randint(0, 400))) for _ in range(300)]
+    pred = spark.createDataFrame(data, PREDICTION_SCHEMA)
+    want = pred.orderBy(F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()) \
+        .limit(20).select("user_session", "purchase_probability", "predicted_label", "model_version", "scored_at")
+    for n in (1, 20, 299, 300, 400):
+        got = MON.recent_predictions(pred, n)
+        assert got.count() == min(n, 300)
+        full = pred.orderBy(F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()) \
+            .limit(n).select(*got.columns)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in full.collect()], n
+    assert MON.recent_predictions(pred).collect() == want.collect()
