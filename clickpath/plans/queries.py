@@ -112,18 +112,6 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
     return M.split_label(scored, M.split_cutoffs(scored))
 
 
-def _split_with_latest(spark: SparkSession, sf: str):
-    """Split plus the newest session end (the monitor's ``as_of``) from the
-    same single aggregate row, so the session table is built once for both."""
-    scored = rule_scored(spark, sf)
-    row = scored.agg(
-        F.min(F.col("session_start").cast("long")).alias("lo"),
-        F.max(F.col("session_start").cast("long")).alias("hi"),
-        F.max("session_end").alias("latest"),
-    ).first()
-    return M.split_label(scored, M.cutoffs_from_bounds(row["lo"], row["hi"])), row["latest"]
-
-
 def _predictions_from(labelled: DataFrame) -> DataFrame:
     version = F.when(F.col("split") == "train", F.lit("v1")).otherwise(F.lit("v2"))
     return labelled.select(
@@ -166,9 +154,24 @@ def registry_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _monitor_inputs(spark: SparkSession, sf: str):
-    """Predictions and ``as_of`` = newest ``scored_at`` (= newest session end)."""
-    labelled, latest = _split_with_latest(spark, sf)
-    return _predictions_from(labelled), latest
+    """Predictions (without the model version, which these reports do not
+    read) and ``as_of`` = the newest ``scored_at``.
+
+    ``scored_at`` is a session end, i.e. the newest non-purchase event of a
+    kept session; every non-purchase event belongs to a kept session, so the
+    newest session end is simply the newest non-purchase event time: a pruned
+    one-column scan instead of a second sessionization pass.
+    """
+    scored = rule_scored(spark, sf)
+    pred = scored.select(
+        "user_session",
+        F.col("session_end").alias("event_time"),
+        "purchase_probability",
+        (F.col("score_pct") >= SCORE_PCT_THRESHOLD).alias("predicted_label"),
+        F.col("session_end").alias("scored_at"),
+    )
+    as_of = events(spark, sf).filter(F.col("event_type") != "purchase").agg(F.max("event_time")).first()[0]
+    return pred, as_of
 
 
 # --------------------------------------------------------------------------
