@@ -153,25 +153,28 @@ def registry_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _monitor_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions without the model version (which the counters, headline and
+    trend reports do not read), so no split cutoffs are needed."""
+    return rule_scored(spark, sf).select(
+        "user_session",
+        F.col("session_end").alias("event_time"),
+        "purchase_probability",
+        (F.col("score_pct") >= SCORE_PCT_THRESHOLD).alias("predicted_label"),
+        F.col("session_end").alias("scored_at"),
+    )
+
+
 def _monitor_inputs(spark: SparkSession, sf: str):
-    """Predictions (without the model version, which these reports do not
-    read) and ``as_of`` = the newest ``scored_at``.
+    """Monitor predictions and ``as_of`` = the newest ``scored_at``.
 
     ``scored_at`` is a session end, i.e. the newest non-purchase event of a
     kept session; every non-purchase event belongs to a kept session, so the
     newest session end is simply the newest non-purchase event time: a pruned
     one-column scan instead of a second sessionization pass.
     """
-    scored = rule_scored(spark, sf)
-    pred = scored.select(
-        "user_session",
-        F.col("session_end").alias("event_time"),
-        "purchase_probability",
-        (F.col("score_pct") >= SCORE_PCT_THRESHOLD).alias("predicted_label"),
-        F.col("session_end").alias("scored_at"),
-    )
     as_of = events(spark, sf).filter(F.col("event_type") != "purchase").agg(F.max("event_time")).first()[0]
-    return pred, as_of
+    return _monitor_predictions(spark, sf), as_of
 
 
 # --------------------------------------------------------------------------
@@ -421,11 +424,11 @@ def _counters(pred: DataFrame) -> DataFrame:
 
 
 def q_running_counters(spark, sf):
-    return _counters(predictions(spark, sf))
+    return _counters(_monitor_predictions(spark, sf))
 
 
 def q_headline_stats(spark, sf):
-    pred = predictions(spark, sf)
+    pred = _monitor_predictions(spark, sf)
     return finish(MON.headline_stats(_counters(pred), pred))
 
 
