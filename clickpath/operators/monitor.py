@@ -5,8 +5,6 @@ All time windows take an explicit ``as_of`` instead of the wall clock.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +16,12 @@ COUNTER_KEYS = ("total_predictions", "purchase_predicted")
 
 
 def _as_of(as_of) -> Column:
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    """A Column, epoch microseconds (int, preferred: no local-zone round trip) or a datetime."""
+    if isinstance(as_of, Column):
+        return as_of
+    if isinstance(as_of, int):
+        return F.timestamp_micros(F.lit(as_of))
+    return F.lit(as_of).cast("timestamp")
 
 
 def _since(as_of, minutes: int) -> Column:
@@ -113,5 +116,6 @@ def recent_predictions(predictions: DataFrame, n: int = RECENT_ROWS) -> DataFram
         .select("user_session", "purchase_probability", "predicted_label", "model_version", "scored_at")
 
 
-def as_of_latest(predictions: DataFrame) -> dt.datetime | None:
-    return predictions.agg(F.max("scored_at")).first()[0]
+def as_of_latest(predictions: DataFrame) -> int | None:
+    """Newest ``scored_at`` as epoch microseconds (None when empty)."""
+    return predictions.agg(F.max(F.unix_micros("scored_at"))).first()[0]

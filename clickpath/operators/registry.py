@@ -64,6 +64,6 @@ def append_registry(spark: SparkSession, path: str, *, hdfs_path: str, version:
         *(float(metrics[k]) if metrics.get(k) is not None else None for k in (
             "auc", "accuracy", "precision", "recall", "precision_purchase", "recall_purchase",
             "decision_threshold")),
-        bool(promoted), created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+        bool(promoted), created_at or dt.datetime.now(dt.timezone.utc),
     )
     spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(path)

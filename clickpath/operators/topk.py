@@ -29,14 +29,15 @@ def first_n_by_time(df: DataFrame, n: int, time_col: str, tie_break: list[Column
         per_minute.withColumn("upto", F.sum("k").over(running))
         .filter(F.col("upto") >= n)
         .orderBy(m_order)
-        .select("m", (F.col("upto") - F.col("k")).alias("before"))
+        .select(F.unix_micros("m").alias("m_us"), (F.col("upto") - F.col("k")).alias("before"))
         .first()
     )
     if cut is None:  # fewer than n rows in total
         return df
-    if cut["m"] is None:  # the cut falls among rows without a time
+    if cut["m_us"] is None:  # the cut falls among rows without a time
         return df.filter(t.isNotNull()).unionByName(df.filter(t.isNull()).orderBy(*order).limit(n - cut["before"]))
-    start = F.lit(cut["m"]).cast("timestamp")
+    # Epoch microseconds, never a Python datetime (no local-zone round trip).
+    start = F.timestamp_micros(F.lit(cut["m_us"]))
     near = df.filter(t >= start + F.expr("INTERVAL 1 MINUTE")) if newest_first else df.filter(t < start)
     edge = df.filter(minute == start).orderBy(*order).limit(n - cut["before"])
     return near.unionByName(edge)

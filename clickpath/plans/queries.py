@@ -173,7 +173,8 @@ def _monitor_inputs(spark: SparkSession, sf: str):
     newest session end is simply the newest non-purchase event time: a pruned
     one-column scan instead of a second sessionization pass.
     """
-    as_of = events(spark, sf).filter(F.col("event_type") != "purchase").agg(F.max("event_time")).first()[0]
+    as_of = events(spark, sf).filter(F.col("event_type") != "purchase") \
+        .agg(F.max(F.unix_micros("event_time"))).first()[0]
     return _monitor_predictions(spark, sf), as_of
 
 
