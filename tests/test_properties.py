@@ -59,3 +59,17 @@ def test_unreadable_champion_is_replaced(spark, scratch):
                                 gap="12 hours", distinct="exact", version="new")
     assert out["promoted"] and out["champion_auc"] is None
     assert REG.active_champion(REG.read_registry(spark, reg)).first().version == "new"
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 400), st.integers(0, 3)), min_size=1, max_size=60),
+       st.integers(1, 70), st.booleans())
+def test_first_n_by_time_equals_full_sort(spark, rows, n, newest_first):
+    from clickpath.operators.topk import first_n_by_time
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), k) for s, k in rows],
+                               "t timestamp, k int")
+    t = F.col("t").desc() if newest_first else F.col("t").asc()
+    want = sorted(tuple(r) for r in df.orderBy(t, F.col("k")).limit(n).collect())
+    got = sorted(tuple(r) for r in first_n_by_time(df, n, "t", [F.col("k")], newest_first).collect())
+    assert got == want
