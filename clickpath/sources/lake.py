@@ -26,22 +26,28 @@ def write_complete(spark: SparkSession, path: str) -> bool:
 
 
 def write_lake(events: DataFrame, path: str, partition_by=("event_date",),
-               max_records_per_file: int = 5_000_000) -> None:
+               max_records_per_file: int = 5_000_000, shuffle: bool = True) -> None:
     """Events → partitioned zstd Parquet.
 
-    Rows are range-partitioned on (partition columns, event time): each task
-    writes to one or a few partition folders (no small-file storm), and a hot
-    partition value (one day or one event type holding a large share of the
+    ``shuffle=True``: rows are range-partitioned on (partition columns, event
+    time), so each task writes one or a few partition folders (few files), and
+    a hot partition value (one day or one type holding a large share of the
     rows) is split over many tasks by time instead of landing in one task, as
-    a hash repartition on the partition columns alone would do.
+    a hash repartition on the partition columns alone would do.  The range
+    boundaries come from a sample, which reads the input once more.
+
+    ``shuffle=False``: every input split writes its own rows (no shuffle, no
+    extra read, balanced by the split size).  Best when the input is already
+    in time order, as raw event files usually are; with unordered input each
+    task writes one file per partition value it holds.
     """
     df = events
     if "event_date" in partition_by and "event_date" not in df.columns:
         df = df.withColumn("event_date", F.to_date("event_time"))
-    writer_df = df.repartitionByRange(*[F.col(c) for c in partition_by], F.col("event_time")) \
-        if partition_by else df
+    if shuffle and partition_by:
+        df = df.repartitionByRange(*[F.col(c) for c in partition_by], F.col("event_time"))
     (
-        writer_df.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_by)
@@ -50,10 +56,10 @@ def write_lake(events: DataFrame, path: str, partition_by=("event_date",),
 
 
 def load_or_create_lake(spark: SparkSession, source: DataFrame, path: str,
-                        partition_by=("event_date",)) -> DataFrame:
+                        partition_by=("event_date",), shuffle: bool = True) -> DataFrame:
     """Reuse a finished lake, else convert ``source`` into it (idempotent)."""
     if not write_complete(spark, path):
-        write_lake(source, path, partition_by)
+        write_lake(source, path, partition_by, shuffle=shuffle)
     return read_lake(spark, path)
 
 

@@ -140,3 +140,11 @@ def test_bounded_replay_ties_inside_the_cut_minute(spark):
     # 5 events in one second of one minute, cap inside them: ties broken by the other columns
     df = events_df(spark, [ev(10, product=p) for p in (5, 3, 9, 1, 7)] + [ev(0, product=0)])
     assert sorted(r.product_id for r in E.bounded_replay(df, 3).collect()) == [0, 1, 3]
+
+
+def test_lake_write_without_shuffle(spark, scratch):
+    path = os.path.join(scratch, "lake_local")
+    base = events_df(spark, [ev(0), ev(60, "cart"), ev(86400 * 2, "view")])
+    lake = L.load_or_create_lake(spark, base, path, partition_by=("event_date",), shuffle=False)
+    assert lake.count() == 3 and L.write_complete(spark, path)
+    assert len([d for d in os.listdir(path) if d.startswith("event_date=")]) == 2
