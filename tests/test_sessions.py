@@ -120,13 +120,14 @@ def test_matches_brute_force_on_driver_table(spark, gap, gap_s):
     assert got == brute_force(events.toPandas(), gap_s)
 
 
-def test_hot_key_spread_over_many_buckets(spark):
+@pytest.mark.parametrize("mode", ["exact", "sketch", "hllpp"])
+def test_hot_key_spread_over_many_buckets(spark, mode):
     # one key holds most rows and spans many buckets; chains of 20-minute gaps
     # merge across bucket borders, a 2-hour pause splits
     rows = [ev(i * 20 * MIN, product=i % 5, session="hot") for i in range(200)]
     rows += [ev(200 * 20 * MIN + 2 * 3600 + i * MIN, session="hot") for i in range(10)]
     rows += [ev(i * 3600, session=f"cold{i}") for i in range(5)]
-    out = feats(spark, rows)
+    out = feats(spark, rows, distinct=mode)
     hot = [r for r in out if r["user_session"] == "hot"]
     assert [r["view_count"] for r in hot] == [200, 10]
     assert hot[0]["distinct_products"] == 5
