@@ -148,3 +148,14 @@ def test_purchase_at_existing_timestamp_changes_only_label(spark):
     assert base[0]["label"] == 0 and with_purchase[0]["label"] == 1
     assert {k: v for k, v in base[0].items() if k != "label"} == \
         {k: v for k, v in with_purchase[0].items() if k != "label"}
+
+
+@pytest.mark.parametrize("mode", ["exact", "sketch", "hllpp"])
+def test_rows_without_time_belong_to_no_session(spark, mode):
+    import datetime as dt
+    rows = [ev(0), ev(60, "cart"), (None, "view", 9, 9, None, "b9", 99.0, 1, "s1")]
+    out = feats(spark, rows, distinct=mode)
+    assert len(out) == 1 and out[0]["view_count"] == 1 and out[0]["max_price"] == 1.0
+    assert isinstance(out[0]["ws"], dt.datetime)
+    w = session_windows(events_df(spark, rows)).collect()
+    assert [r.n_events for r in w] == [2]
