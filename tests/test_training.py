@@ -14,6 +14,7 @@ def test_training_cycle_promotes_first_and_keeps_equal_champion(spark, scratch):
               trained_on="sf0.01", distinct="exact")
     first = TR.run_training_cycle(spark, events, version="v1", **kw)
     assert first["promoted"] and first["champion_auc"] is None
+    assert first["invalid_feature_rows"] == 0
     m = first["metrics"]
     assert 0.0 <= m["auc"] <= 1.0 and 0.05 <= m["decision_threshold"] <= 0.95
     # same data, same model: improvement 0 ≤ margin → the champion stays
@@ -49,3 +50,12 @@ def test_installed_threshold_drives_predictions(spark):
             # predicted positive exactly when P(purchase) clears the installed threshold
             wrong = scored.filter((F.col("prediction") == 1) != (F.col("purchase_probability") > t)).count()
             assert wrong == 0, (model_type, t)
+
+
+
+def test_invalid_feature_rows_counts_null_and_nan(spark):
+    from clickpath.schema import FEATURE_COLS
+    cols = ", ".join(f"{c} double" for c in FEATURE_COLS)
+    rows = [tuple([1.0] * len(FEATURE_COLS)), tuple([None] + [1.0] * (len(FEATURE_COLS) - 1)),
+            tuple([1.0] * (len(FEATURE_COLS) - 1) + [float("nan")])]
+    assert TR.invalid_feature_rows(spark.createDataFrame(rows, cols)) == 2
