@@ -110,10 +110,15 @@ def score_batch(batch: DataFrame, batch_id: int, *, champion: ChampionCache, pre
         return 0
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if batch.isEmpty():
+        n_in = batch.count()  # one pass over the persisted batch
+        if n_in == 0:
             return 0
-        return _write_scored(_score(batch, model, version, run_id=run_id, batch_id=batch_id),
-                             predictions_path, metrics_path)
+        written = _write_scored(_score(batch, model, version, run_id=run_id, batch_id=batch_id),
+                                predictions_path, metrics_path)
+        if written < n_in:  # the assembler skips sessions with null/NaN features
+            log.warning("batch %s: %d of %d sessions had invalid features and were not scored",
+                        batch_id, n_in - written, n_in)
+        return written
     finally:
         batch.unpersist()
 
