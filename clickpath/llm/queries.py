@@ -57,3 +57,5 @@ QUERIES: dict[str, Query] = {
     for f in (op1_quality_rules, op2_flow_reshard, op3_budget_mix, op6_near_duplicates, op7_line_dedup, op8_hmm_scores,
               op10_secret_scan)
 }
+
+ORACLE_SQL: dict[str, str] = {}
