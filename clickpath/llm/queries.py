@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickpath.llm.decontaminate import contaminated
 from clickpath.llm.hmm import score_documents
+from clickpath.llm.licences import find_licences
 from clickpath.llm.linededup import line_digests
 from clickpath.llm.mixture import mix_sources
 from clickpath.llm.neardup import near_duplicate_groups
+from clickpath.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with QUERIES)
+from clickpath.llm.preference import preference_examples
 from clickpath.llm.quality import judge_quality
 from clickpath.llm.reshard import reshard
 from clickpath.llm.secrets import scan_secrets
@@ -36,6 +40,14 @@ def op3_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("repeats") * F.col("size")).alias("taken"))
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licences(_table(spark, sf_dir, "documents"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -48,14 +60,16 @@ def op8_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_examples(_table(spark, sf_dir, "conversations"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_flow_reshard, op3_budget_mix, op6_near_duplicates, op7_line_dedup, op8_hmm_scores,
-              op10_secret_scan)
+    for f in (op1_quality_rules, op2_flow_reshard, op3_budget_mix, op4_template_decontamination, op5_licence_scan,
+              op6_near_duplicates, op7_line_dedup, op8_hmm_scores, op9_preference_pairs, op10_secret_scan)
 }
-
-ORACLE_SQL: dict[str, str] = {}
