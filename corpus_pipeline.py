@@ -2,14 +2,17 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that the runner
 writes as Parquet and reads back as the next stage's ``docs``; all but the
-last return the columns of ``documents``.  A row that a stage names twice is
-kept apart by all of its columns, and the mix repeats rows on purpose.
+last return the columns of ``documents``.  A row without a doc_id cannot be
+named by a decision: the two stages that keep named documents drop it.
+Repeated rows leave the near-duplicate stage once; the mix repeats rows on
+purpose, and the shards hold each repeat.  Empty tables pass through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickpath.llm.decontaminate import contaminated
 from clickpath.llm.mixture import mix_sources
 from clickpath.llm.neardup import near_duplicate_groups
 from clickpath.llm.quality import judge_quality
@@ -29,9 +32,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of any benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = contaminated(docs, benchmark).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    taken = mix_sources(docs).where("repeats > 0").select("doc_id", "repeats")
+    taken = mix_sources(docs).where("repeats > 0").groupBy("doc_id").agg(F.max("repeats").alias("repeats"))
     return (docs.join(taken, "doc_id").withColumn("repeats", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
             .select(docs.columns))
 
@@ -41,9 +51,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reshard(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("mix", mix), ("shard", shard)]
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("shard", shard)]
 
-# The near-duplicate, mixing and sharding stages are not expressible in SQL.
+# The seeded draws of the mix and the blocks of the shards follow Spark's hash, which SQL elsewhere does not have.
 ORACLE_SQL = None
 
 
