@@ -7,9 +7,9 @@
   (map-side combine, at most T+1 bins × 2 labels), and cumulative sums over
   the bins give every threshold at once;
 * :func:`area_under_roc` is the exact rank-sum AUC (ties count one half)
-  without a global sort: a prefix sum over balanced, ordered coarse bins of
-  the distinct scores (a range repartition; bounded table) plus a prefix sum
-  inside each bin;
+  without a global sort: a prefix sum over ordered bins of the distinct scores
+  (one list of bounds, at most ``bins`` values) plus a prefix sum inside each
+  bin;
 * :func:`classification_metrics` gives accuracy, weighted precision/recall
   and the purchase-class precision/recall from one conditional aggregate.
 """
@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.stage import stage
+
 log = logging.getLogger(__name__)
 
 # Split fractions, sweep grid and promotion margin.
@@ -29,7 +31,7 @@ TRAIN_FRAC = 0.60
 VAL_FRAC = 0.15
 DEFAULT_THRESHOLDS = [round(0.05 * i, 2) for i in range(1, 20)]
 PROMOTION_MARGIN = 0.02
-AUC_COARSE_BINS = 4096
+AUC_BINS = 1024
 
 
 @dataclass(frozen=True)
@@ -57,64 +59,42 @@ def cutoffs_from_bounds(lo: int | None, hi: int | None, train_frac: float = TRAI
     return SplitCutoffs(lo, lo + int(total * train_frac), lo + int(total * (train_frac + val_frac)))
 
 
-def split_label(sessions: DataFrame, cut: SplitCutoffs | None = None, time_col: str = "session_start",
-                train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC) -> DataFrame:
-    """Adds ``split`` ∈ {train, val, test} (``<=`` cutoffs are inclusive).
-
-    Without ``cut`` the bounds are scalar subqueries of the same plan (no
-    driver round trip; Spark may reuse the exchange that builds the sessions).
-    """
+def split_label(sessions: DataFrame, cut: SplitCutoffs, time_col: str = "session_start") -> DataFrame:
+    """Adds ``split`` ∈ {train, val, test} (``<=`` cutoffs are inclusive; null without any session)."""
     ts = F.col(time_col).cast("long")
-    if cut is None:
-        bounds = sessions.select(F.col(time_col).cast("long").alias("_t"))
-        lo = bounds.select(F.min("_t")).scalar()
-        hi = bounds.select(F.max("_t")).scalar()
-        span = (hi - lo).cast("double")
-        train_cut = lo + F.floor(span * F.lit(train_frac)).cast("long")
-        val_cut = lo + F.floor(span * F.lit(train_frac + val_frac)).cast("long")
-    elif cut.start is None:
-        return sessions.withColumn("split", F.lit(None).cast("string"))
-    else:
-        train_cut, val_cut = F.lit(cut.train_cutoff), F.lit(cut.val_cutoff)
-    return sessions.withColumn(
-        "split", F.when(ts <= train_cut, "train").when(ts <= val_cut, "val").otherwise("test"),
-    )
+    part = F.when(ts <= F.lit(cut.train_cutoff), "train").when(ts <= F.lit(cut.val_cutoff), "val").otherwise("test")
+    return sessions.withColumn("split", part if cut.start is not None else F.lit(None).cast("string"))
 
 
 def time_split(sessions: DataFrame, time_col: str = "session_start",
-               train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC):
-    """(train, val, test); an empty input gives three empty frames."""
-    cut = split_cutoffs(sessions, time_col, train_frac, val_frac)
-    if cut.start is None:
-        empty = sessions.limit(0)
-        return empty, empty, empty
-    ts = F.col(time_col).cast("long")
-    return (
-        sessions.filter(ts <= cut.train_cutoff),
-        sessions.filter((ts > cut.train_cutoff) & (ts <= cut.val_cutoff)),
-        sessions.filter(ts > cut.val_cutoff),
-    )
+               train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC) -> list[DataFrame]:
+    """[train, val, test]; an empty input gives three empty frames."""
+    labelled = split_label(sessions, split_cutoffs(sessions, time_col, train_frac, val_frac), time_col)
+    return [labelled.where(F.col("split") == part).drop("split") for part in ("train", "val", "test")]
 
 
 def class_balance(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def weight_ratio(df: DataFrame, label_col: str = "label") -> tuple[float, int, int]:
-    """(neg/pos, neg, pos); pos = 0 gives 1.0 (at most two rows reach the driver)."""
-    counts = {r[label_col]: r["n"] for r in class_balance(df, label_col).collect()}
-    neg, pos = counts.get(0, 0), counts.get(1, 0)
-    if pos == 0 or neg == 0:
-        log.warning("training split has %d negatives and %d positives; class weight ratio %s",
-                    neg, pos, "1.0" if pos == 0 else "0.0")
-    return ((neg / pos) if pos > 0 else 1.0), neg, pos
+def class_weight_table(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """(label, n, class_weight), at most a row per class: 1 for negatives, neg/pos for
+    positives (1 where there is no positive row).  One aggregate over ``df``."""
+    everywhere = Window.partitionBy()  # over at most two rows
+    count_of = lambda y: F.coalesce(F.sum(F.when(F.col(label_col) == y, F.col("n"))).over(everywhere), F.lit(0))
+    weight = F.when((F.col(label_col) == 1) & (count_of(1) > 0), count_of(0) / count_of(1)).otherwise(F.lit(1.0))
+    return class_balance(df, label_col).withColumn("class_weight", weight)
 
 
 def class_weights(train: DataFrame, label_col: str = "label", weight_col: str = "class_weight") -> DataFrame:
-    ratio, _, _ = weight_ratio(train, label_col)
-    return train.withColumn(
-        weight_col, F.when(F.col(label_col) == 1, F.lit(ratio)).otherwise(F.lit(1.0))
-    )
+    """Every row with the weight of its class."""
+    table = class_weight_table(train, label_col).collect()  # at most two rows
+    if len(table) < 2:
+        log.warning("the training split lacks a class: %s", [r.asDict() for r in table])
+    weight = F.lit(1.0)
+    for r in table:
+        weight = F.when(F.col(label_col) == r[label_col], F.lit(r["class_weight"])).otherwise(weight)
+    return train.withColumn(weight_col, weight)
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -133,7 +113,7 @@ def threshold_sweep(scored: DataFrame, label_col: str = "label",
         raise ValueError("thresholds must be ascending")
     g = list(group_cols)
     spark = scored.sparkSession
-    score = F.col(score_col)
+    score = F.nanvl(F.col(score_col).cast("double"), F.lit(None))  # NaN clears no threshold
     cleared = sum((F.when(score >= F.lit(t), 1).otherwise(0) for t in ts), F.lit(0))
     per_bin = (
         scored.select(*g, cleared.alias("bin"), F.col(label_col).cast("int").alias("y"))
@@ -187,44 +167,49 @@ def best_threshold_value(sweep: DataFrame, default: float = 0.5) -> float:
     return float(row["threshold"]) if row is not None else default
 
 
-def _coarse_bins(per_score: DataFrame, n_bins: int) -> DataFrame:
-    """Adds ``c``: balanced, ordered bins over the *distinct* scores.
-
-    Fixed-width bins would put most scores of a rare-positive model (all near
-    0) into one bin, i.e. one hot window partition.  A range repartition on
-    the score samples the distinct scores for its boundaries (reusing the
-    shuffle that built them, no separate pass), puts equal scores in one
-    partition and orders partitions by score; the partition id is the bin.
-    """
-    return per_score.repartitionByRange(n_bins, "s").withColumn("c", F.spark_partition_id())
+def _bin_of(score: Column, bounds: list[float]) -> Column:
+    """How many of the ascending ``bounds`` lie at or below the score, by two short scans instead of a long one."""
+    if not bounds:
+        return F.lit(0)
+    width = max(1, int(len(bounds) ** 0.5))
+    pages = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    # the last page is filled up with its own largest bound + infinity, which no score reaches
+    pages[-1] += [float("inf")] * (width - len(pages[-1]))
+    below = lambda values: F.size(F.filter(values, lambda b: b <= score))
+    page = below(F.lit([p[0] for p in pages]))
+    inside = below(F.get(F.lit(pages), page - 1))
+    return F.when(page == 0, 0).otherwise((page - 1) * width + inside)
 
 
 def area_under_roc(scored: DataFrame, label_col: str = "label", score_col: str = "purchase_probability",
-                   group_cols=(), coarse_bins: int = AUC_COARSE_BINS) -> DataFrame:
+                   group_cols=(), bins: int = AUC_BINS) -> DataFrame:
     """Exact ROC AUC per group (Mann–Whitney, ties ½); null when a class is absent.
 
-    Two-level prefix sum instead of a global sort: negatives below each
-    coarse bin (a window over at most ``coarse_bins`` rows per group) plus
-    negatives below each score inside its bin (a window per bin).
+    The rows are counted by distinct score once (written to the shared work
+    folder).  Quantiles of the distinct scores give at most ``bins`` bounds,
+    and a score's bin is an expression of the score alone, so every use sees
+    the same bins.  Negatives below a score are those of earlier bins (a window
+    over at most ``bins`` rows per group) plus those below it in its bin (a
+    window per bin).  Where the bounds fall affects only the balance, never
+    the result.  Null and NaN scores and null labels are left out.
     """
     g = list(group_cols)
-    per_score = (
+    per_score = stage(
         scored.select(*g, F.col(score_col).cast("double").alias("s"), F.col(label_col).cast("int").alias("y"))
         .filter(F.col("s").isNotNull() & ~F.isnan("s") & F.col("y").isNotNull())
         .groupBy(*g, "s")
-        .agg(
-            F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).cast("long").alias("pos"),
-            F.sum(F.when(F.col("y") != 1, 1).otherwise(0)).cast("long").alias("neg"),
-        )
-    )
-    per_score = _coarse_bins(per_score, coarse_bins)
-    coarse = per_score.groupBy(*g, "c").agg(F.sum("pos").alias("cpos"), F.sum("neg").alias("cneg"))
+        .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")), "auc-scores")
+    quantiles = [i / bins for i in range(1, bins)]
+    found = per_score.agg(F.percentile_approx("s", quantiles, 10 * bins)).first()[0] or []
+    binned = per_score.withColumn("c", _bin_of(F.col("s"), sorted(b for b in set(found) if b != float("inf"))))
+    coarse = binned.groupBy(*g, "c").agg(F.sum("neg").alias("cneg"))
     before = Window.partitionBy(*g).orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
-    coarse = coarse.withColumn("neg_before_bin", F.coalesce(F.sum("cneg").over(before), F.lit(0)))
+    coarse = coarse.select(*g, "c", F.coalesce(F.sum("cneg").over(before), F.lit(0)).alias("neg_before_bin"))
     inside = Window.partitionBy(*g, "c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     contrib = (
-        per_score.join(coarse.select(*g, "c", "neg_before_bin"), [*g, "c"])
-        .withColumn("neg_below", F.col("neg_before_bin") + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+        binned.withColumn("neg_in_bin", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+        .join(coarse, [*g, "c"])
+        .withColumn("neg_below", F.col("neg_before_bin") + F.col("neg_in_bin"))
         .groupBy(*g)
         .agg(
             F.sum(F.col("pos") * F.col("neg_below") + 0.5 * F.col("pos") * F.col("neg")).alias("u"),

@@ -95,8 +95,10 @@ def test_time_split_cuts_time_range(spark):
 def test_class_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "label int")
     assert {r.label: r.class_weight for r in M.class_weights(df).collect()} == {0: 1.0, 1: 3.0}
-    assert M.weight_ratio(spark.createDataFrame([(0,)], "label int"))[0] == 1.0   # pos = 0
-    assert M.weight_ratio(spark.createDataFrame([(1,)], "label int"))[0] == 0.0   # neg = 0
+    table = lambda rows: {tuple(r) for r in M.class_weight_table(spark.createDataFrame(rows, "label int")).collect()}
+    assert table([(0,), (1,), (1,)]) == {(0, 1, 1.0), (1, 2, 0.5)}
+    assert table([(0,)]) == {(0, 1, 1.0)}   # pos = 0
+    assert table([(1,)]) == {(1, 1, 0.0)}   # neg = 0
 
 
 def test_promotion_rule(spark):
@@ -125,5 +127,29 @@ def test_auc_with_scores_piled_near_zero(spark):
     rnd = random.Random(21)
     pairs = [(int(rnd.random() < 0.05), rnd.random() * 1e-4) for _ in range(600)]
     pairs += [(int(rnd.random() < 0.5), rnd.random()) for _ in range(60)]
-    (r,) = M.area_under_roc(scored_df(spark, pairs), coarse_bins=16).collect()
+    (r,) = M.area_under_roc(scored_df(spark, pairs), bins=16).collect()
     assert r.auc == pytest.approx(brute_auc(pairs), abs=1e-12)
+
+
+def test_auc_on_many_distinct_scores_whatever_the_partitions(spark):
+    """1.5 million continuous scores, piled up near 0: equal to MLlib without bins."""
+    from pyspark.ml.functions import array_to_vector
+
+    df = spark.range(1_500_000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1000)) < 80).cast("int").alias("label"),
+        F.pow((F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2**40)) / F.lit(float(2**40))), F.lit(6.0)).alias("u"))
+    df = df.select("label", (F.col("u") * F.when(F.col("label") == 1, 1.0).otherwise(0.7)).alias("purchase_probability"))
+    mllib = BinaryClassificationEvaluator(numBins=0).evaluate(df.select(
+        F.col("label").cast("double").alias("label"),
+        array_to_vector(F.array(1 - F.col("purchase_probability"), F.col("purchase_probability"))).alias("rawPrediction")))
+    for parts, bins in ((3, 1024), (17, 64)):
+        (r,) = M.area_under_roc(df.repartition(parts), bins=bins).collect()
+        assert r.auc == pytest.approx(mllib, abs=1e-9)
+
+
+def test_nan_and_null_scores_clear_no_threshold(spark):
+    df = spark.createDataFrame([(1, float("nan")), (1, None), (1, 0.9), (0, 0.1)], "label int, purchase_probability double")
+    (low,) = M.threshold_sweep(df, thresholds=[0.05]).collect()
+    assert (low.tp, low.fp, low.fn) == (1, 1, 2)
+    (r,) = M.area_under_roc(df).collect()
+    assert (r.auc, r.n_pos, r.n_neg) == (1.0, 1, 1)
