@@ -1,5 +1,6 @@
 """Command line jobs: one training cycle, the streaming consumer, monitor reports.
 
+    python -m clickpath.jobs ingest  --raw-csv DIR --rejects DIR (--out DIR | --kafka HOST:PORT --topic NAME)
     python -m clickpath.jobs train   --raw-csv DIR --lake DIR [--stream DIR] --models DIR --registry DIR
     python -m clickpath.jobs consume --source DIR|TOPIC [--kafka HOST:PORT | --source-format csv]
                                      --archive DIR --predictions DIR
@@ -26,11 +27,30 @@ def _spark(app: str) -> SparkSession:
     return prepare(spark)
 
 
+def ingest(args) -> dict:
+    """Raw CSV → rejected lines (kept and counted) and keyed JSON messages, to files or a topic."""
+    from .functions.encode import event_json
+    from .sources.events import bounded_replay, read_event_csv_checked, split_rejects
+
+    spark = _spark("clickpath-ingest")
+    accepted, rejected = split_rejects(read_event_csv_checked(spark, args.raw_csv))
+    accepted = bounded_replay(accepted, args.max_events)
+    messages = accepted.select(F.col("user_session").alias("key"), event_json(accepted).alias("value"))
+    if args.kafka:
+        messages.write.format("kafka").option("kafka.bootstrap.servers", args.kafka).option("topic", args.topic).save()
+    else:
+        messages.select("value").write.mode("append").text(args.out)
+    rejected.write.mode("append").parquet(args.rejects)
+    out = {"rejected": spark.read.parquet(args.rejects).count()}
+    print(json.dumps(out))
+    return out
+
+
 def train(args) -> dict:
     from .plans.training import load_training_events, run_training_cycle
 
     spark = _spark("clickpath-train")
-    events, used = load_training_events(spark, args.raw_csv, args.lake, args.stream, args.dedup)
+    events, used = load_training_events(spark, args.raw_csv, args.lake, args.stream, args.dedup, args.rejects)
     out = run_training_cycle(spark, events, args.models, args.registry, model_type=args.model_type,
                              gap=args.gap, trained_on=f"{args.trained_on or args.raw_csv} ({used})",
                              distinct=args.distinct, margin=args.margin)
@@ -46,7 +66,10 @@ def consume(args) -> None:
     spark = _spark("clickpath-consume")
     # Session state grows with open sessions: keep it in RocksDB (off-heap,
     # spills to local disk, snapshots to the checkpoint) unless the cluster
-    # already chose a provider.  The choice is fixed at the first checkpoint.
+    # already chose a provider.  Sessions of a key are merged inside each input
+    # partition before the shuffle, so a hot key sends few rows.  Both choices
+    # are fixed at the first checkpoint.
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     key = "spark.sql.streaming.stateStore.providerClass"
     if not spark.conf.get(key, None):
         spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -66,7 +89,7 @@ def consume(args) -> None:
                             predictions_path=args.predictions, metrics_path=args.metrics,
                             checkpoint=f"{ck}/scoring", run_id=args.run_id, gap=args.gap,
                             watermark=args.watermark, distinct=args.distinct, trigger=args.scoring_trigger,
-                            available_now=once, pending_path=args.pending)
+                            available_now=once, pending_path=args.pending, discard_unscored=args.discard_unscored)
     if once:  # catch up on everything available, then exit
         archive.awaitTermination()
         scoring.awaitTermination()
@@ -91,18 +114,18 @@ def monitor(args) -> dict:
     spark = _spark("clickpath-monitor")
     pred = spark.read.parquet(args.predictions)
     counters = MON.running_counters(spark.read.parquet(args.metrics))
-    as_of = MON.as_of_latest(pred)
+    as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
     log = REG.read_registry(spark, args.registry)
     rows = {
         "headline": MON.headline_stats(counters, pred).first().asDict(),
-        "avg_probability": MON.avg_probability(pred, as_of).first()[0] if as_of else 0.0,
-        "trend": [r.asDict() for r in MON.trend(pred, as_of).drop("minute_ts").collect()] if as_of else [],
+        "avg_probability": MON.avg_probability(pred, as_of).first()[0],
+        "trend": [r.asDict() for r in MON.trend(pred, as_of).drop("minute_ts").collect()],
         "recent": [r.asDict() for r in MON.recent_predictions(pred).collect()],
         "champion": (lambda r: r.asDict() if r else None)(REG.active_champion(log).first()),
         "models_trained": log.count(),
-        "history": [r.asDict() for r in REG.registry_history(log).select(
-            "version", "trained_on", "auc_score", "accuracy", "precision_purchase", "recall_purchase",
-            "decision_threshold", "promoted", F.col("created_at")).collect()],
+        "history": [r.asDict() for r in REG.registry_listing(log).select(
+            "version", "short_version", "trained_on", "auc_score", "accuracy", "precision_purchase", "recall_purchase",
+            "decision_threshold", "promoted", "is_active", F.col("created_at")).collect()],
     }
     print(json.dumps(rows, default=str))
     return rows
@@ -111,7 +134,16 @@ def monitor(args) -> dict:
 def main(argv=None):
     p = argparse.ArgumentParser(prog="clickpath")
     sub = p.add_subparsers(dest="cmd", required=True)
+    g = sub.add_parser("ingest")
+    g.add_argument("--raw-csv", required=True)
+    g.add_argument("--rejects", required=True)
+    g.add_argument("--out")
+    g.add_argument("--kafka")
+    g.add_argument("--topic")
+    g.add_argument("--max-events", type=int, help="the first N events in time order; default: all")
+    g.set_defaults(fn=ingest)
     t = sub.add_parser("train")
+    t.add_argument("--rejects", help="folder for lines of wrong arity")
     t.add_argument("--raw-csv", required=True)
     t.add_argument("--lake", required=True)
     t.add_argument("--stream")
@@ -134,7 +166,8 @@ def main(argv=None):
     c.add_argument("--metrics", required=True)
     c.add_argument("--checkpoints", required=True)
     c.add_argument("--registry", required=True)
-    c.add_argument("--pending")
+    c.add_argument("--pending", help="folder for sessions closed while there is no champion")
+    c.add_argument("--discard-unscored", action="store_true", help="drop those sessions instead")
     c.add_argument("--run-id")
     c.add_argument("--gap", default="30 minutes")
     c.add_argument("--watermark", default="30 minutes")
@@ -157,6 +190,7 @@ def main(argv=None):
     m.add_argument("--predictions", required=True)
     m.add_argument("--metrics", required=True)
     m.add_argument("--registry", required=True)
+    m.add_argument("--as-of", help="end of the trend window as a timestamp; default: now")
     m.set_defaults(fn=monitor)
     args = p.parse_args(argv)
     return args.fn(args)

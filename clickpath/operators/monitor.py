@@ -37,6 +37,14 @@ def batch_metrics(predictions: DataFrame, batch_col="batch_id") -> DataFrame:
     )
 
 
+def headline_of(predictions: DataFrame) -> DataFrame:
+    """The headline straight from the predictions, in one aggregate."""
+    return _headline(predictions.agg(
+        F.count(F.lit(1)).alias("total_predictions"),
+        F.count_if(F.col("predicted_label")).alias("purchase_predicted"),
+        F.max("scored_at").alias("latest_scored_at")))
+
+
 def running_counters(batches: DataFrame) -> DataFrame:
     """The two running counters as (metric_key, metric_value), 0 when empty."""
     totals = batches.agg(
@@ -69,9 +77,13 @@ def headline_stats(counters: DataFrame, predictions: DataFrame) -> DataFrame:
         .cast("long").alias("purchase_predicted"),
         F.max("scored_at").alias("latest_scored_at"),
     )
+    return _headline(c)
+
+
+def _headline(totals: DataFrame) -> DataFrame:
     total, purchase = F.col("total_predictions"), F.col("purchase_predicted")
     rate = F.when(total > 0, purchase / total * 100).otherwise(F.lit(0.0))
-    return c.select(
+    return totals.select(
         total, purchase, (total - purchase).alias("no_purchase_predicted"),
         rate.alias("purchase_rate"), F.round(rate, 2).alias("purchase_rate_api"), "latest_scored_at",
     )
@@ -79,10 +91,8 @@ def headline_stats(counters: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def avg_probability(predictions: DataFrame, as_of, minutes: int = TREND_MINUTES) -> DataFrame:
     """Mean probability over the last ``minutes`` before ``as_of``; 0.0 if none."""
-    return predictions.agg(
-        F.coalesce(F.avg(F.when(_since(as_of, minutes), F.col("purchase_probability"))), F.lit(0.0))
-        .alias("avg_probability")
-    )
+    return predictions.filter(_since(as_of, minutes)).agg(
+        F.coalesce(F.avg("purchase_probability"), F.lit(0.0)).alias("avg_probability"))
 
 
 def trend(predictions: DataFrame, as_of, limit_minutes: int = TREND_MINUTES) -> DataFrame:
@@ -108,11 +118,7 @@ def trend(predictions: DataFrame, as_of, limit_minutes: int = TREND_MINUTES) ->
 
 def recent_predictions(predictions: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
     """Newest ``n`` rows (ties broken by session and event time)."""
-    from .topk import first_n_by_time
-
-    newest = first_n_by_time(predictions, n, "scored_at",
-                             [F.col("user_session").asc(), F.col("event_time").desc()], newest_first=True)
-    return newest.orderBy(F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()) \
+    return predictions.orderBy(F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()).limit(n) \
         .select("user_session", "purchase_probability", "predicted_label", "model_version", "scored_at")
 
 

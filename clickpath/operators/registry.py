@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import REGISTRY_SCHEMA
@@ -36,12 +36,17 @@ def active_version(log: DataFrame) -> str | None:
 
 
 def registry_state(log: DataFrame) -> DataFrame:
-    """Every row with ``is_active`` derived and the number of models trained."""
-    active = active_version(log)
-    n_models = log.count()
-    return log.withColumn(
-        "is_active", F.coalesce(F.col("version") == F.lit(active), F.lit(False))
-    ).withColumn("n_models", F.lit(n_models).cast("long"))
+    """Every row with ``is_active`` derived and the number of models trained (two aggregates over metadata rows)."""
+    everywhere = Window.partitionBy()  # one row per training cycle
+    active = F.max_by(F.when(F.col("promoted"), F.col("version")),
+                      F.when(F.col("promoted"), F.struct("created_at", "version"))).over(everywhere)
+    return log.withColumn("is_active", F.coalesce(F.col("version") == active, F.lit(False))) \
+        .withColumn("n_models", F.count(F.lit(1)).over(everywhere))
+
+
+def registry_listing(log: DataFrame) -> DataFrame:
+    """Newest first, with ``is_active`` and the version's short name (its first 8 characters)."""
+    return registry_state(log).withColumn("short_version", F.substring("version", 1, 8)).orderBy(*_newest())
 
 
 def registry_history(log: DataFrame) -> DataFrame:
@@ -50,14 +55,17 @@ def registry_history(log: DataFrame) -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    df = read_lake_if_present(spark, path)
+    df = read_lake_if_present(spark, path, merge_schema=True)
     if df is None:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
-    return df.select(*REGISTRY_COLUMNS)
+    # rows written before a column existed have null there
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in REGISTRY_SCHEMA.fields])
 
 
 def append_registry(spark: SparkSession, path: str, *, hdfs_path: str, version: str, trained_on: str,
-                    metrics: dict, promoted: bool, created_at: dt.datetime | None = None) -> None:
+                    metrics: dict, promoted: bool, created_at: dt.datetime | None = None,
+                    gap: str | None = None, distinct: str | None = None, features: list[str] | None = None) -> None:
     """Append one cycle row (a one-row write; the log is never rewritten)."""
     row = (
         hdfs_path, version, trained_on,
@@ -65,5 +73,6 @@ def append_registry(spark: SparkSession, path: str, *, hdfs_path: str, version:
             "auc", "accuracy", "precision", "recall", "precision_purchase", "recall_purchase",
             "decision_threshold")),
         bool(promoted), created_at or dt.datetime.now(dt.timezone.utc),
+        gap, distinct, ",".join(features) if features else None,
     )
     spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(path)

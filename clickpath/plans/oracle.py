@@ -219,6 +219,16 @@ wire as (
   from ev)"""
 
 
+# Messages with broken JSON (all null), blank sessions and unreadable times, by rule.
+_BROKEN = "k % 5 = 0 and event_type = 'signup'"
+EDGE = f"""{EV},
+edge as (
+  select {', '.join(f"case when not ({_BROKEN}) then {c} end as {c}" for c in CORE.split(', ')
+                    if c not in ('event_time', 'user_session'))},
+         case when not ({_BROKEN}) and not (k % 5 = 0 and event_type = 'remove_from_cart') then event_time end as event_time,
+         case when {_BROKEN} then null when k % 5 = 0 and event_type = 'purchase' then '' else user_session end as user_session
+  from ev)"""
+
 # The JSON wire carries event times to the second.
 EV_SEC = EV.replace("ts as event_time", "date_trunc('second', ts) as event_time")
 
@@ -232,9 +242,9 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["events_scan"] = _sql(EV, f"select {CORE_SEC} from ev")
     q["lake_scan"] = q["events_scan"]
-    q["decode_events"] = q["events_scan"]
-    q["clean_events"] = _sql(EV, f"select {CORE_SEC} from ev where event_time is not null "
-                                 "and user_session is not null and user_session <> ''")
+    q["decode_events"] = _sql(EDGE, f"select {CORE_SEC} from edge")
+    q["clean_events"] = _sql(EDGE, f"select {CORE_SEC} from edge where event_time is not null "
+                                   "and user_session is not null and user_session <> ''")
     q["encode_events"] = _sql(EV, """select user_session as key, cast(json_object(
         'event_time', strftime(event_time, '%Y-%m-%d %H:%M:%S') || ' UTC',
         'event_type', event_type, 'product_id', product_id, 'category_id', category_id,
@@ -261,11 +271,11 @@ def oracle_sql() -> dict[str, str]:
         order by event_time asc nulls last, event_type asc nulls first, product_id asc nulls first,
                  category_id asc nulls first, category_code asc nulls first, brand asc nulls first,
                  price asc nulls first, user_id asc nulls first, user_session asc nulls first
-        limit 30000""")
+        limit (select cast(trunc(count(*) * 0.5) as bigint) from ev)""")
     q["archive_layout"] = _sql(EV, "select event_type, cast(event_time as date) as event_date, count(*) as n_events "
                                    "from ev group by 1, 2")
     q["dedup_events"] = _sql(STREAMED, f"select distinct {CORE.replace('price', 'round(price, 6) as price')} "
-                                       "from streamed")
+                                       "from (select * from baseline union all select * from streamed)")
     q["consolidate"] = _sql(STREAMED, f"""select {CORE.replace('price', 'round(price, 6) as price')} from baseline
         union all
         select {CORE.replace('price', 'round(price, 6) as price')} from (select distinct * from streamed)""")
@@ -298,9 +308,10 @@ def oracle_sql() -> dict[str, str]:
                                        "round(recall, 6) as recall, round(f1, 6) as f1 from sweep2")
     q["best_threshold"] = _sql(SWEEP, "select threshold, round(f1, 6) as f1, round(precision, 6) as precision, "
                                       "round(recall, 6) as recall from best")
-    q["auc_ranksum"] = _sql(SCORED + ",\ntest as (select * from labelled where split = 'test')",
-                            "select round(auc, 6) as auc, n_pos, n_neg from "
-                            + auc_sql("test", "purchase_probability", None) + " a")
+    q["auc_ranksum"] = _sql(SCORED + """,
+        test as (select 'rule' as score, purchase_probability as p, label from labelled where split = 'test'
+                 union all select 'price', avg_price, label from labelled where split = 'test')""",
+                            "select score, round(auc, 6) as auc, n_pos, n_neg from " + auc_sql("test", "p", "score") + " a")
     q["classification_metrics"] = _sql(SWEEP, """,
         t as (select * from labelled where split = 'test'),
         c as (select count(*) as n,
@@ -333,6 +344,12 @@ def oracle_sql() -> dict[str, str]:
                coalesce(version = (select v from act), false) as is_active,
                (select count(*) from reg) as n_models
         from reg""")
+    q["registry_listing"] = _sql(DECISIONS, """,
+        act as (select arg_max(version, (created_at, version)) as v from reg where promoted)
+        select version, trained_on, round(auc_score, 6) as auc_score, promoted, created_at,
+               coalesce(version = (select v from act), false) as is_active,
+               (select count(*) from reg) as n_models, left(version, 8) as short_version
+        from reg""")
     q["active_champion"] = _sql(DECISIONS, """select version, trained_on, round(auc_score, 6) as auc_score, promoted,
         created_at from reg where promoted order by created_at desc, version desc limit 1""")
     q["registry_history"] = _sql(DECISIONS, """select version, trained_on, round(auc_score, 6) as auc_score, promoted,
@@ -367,4 +384,19 @@ def oracle_sql() -> dict[str, str]:
     q["recent_predictions"] = _sql(PREDICTIONS, """select user_session, round(purchase_probability, 6)
         as purchase_probability, predicted_label, model_version, scored_at from pred
         order by scored_at desc, user_session asc, event_time desc limit 20""")
+    # at most three events a session here: the estimate is exact
+    q["approx_distincts"] = _sql(feat30, "select user_session, window_start, distinct_products, distinct_categories, "
+                                         "distinct_brands from sfeat")
+    keys = "select user_session, session_end as event_time, '{v}' as model_version, true as probability_valid from {t}"
+    q["score_sessions"] = _sql(SCORED, keys.format(v="lr", t="labelled"))
+    q["stream_scoring"] = _sql(f"{EV_SEC},\n{sessions_cte('30 minute')}", keys.format(v="v1", t="sfeat")
+                               + " where window_end <= (select max(event_time) from ev) - interval 30 minute")
+    for key, model_type in (("train_lr", "logistic_regression"), ("train_rf", "random_forest"), ("train_gbt", "gbt")):
+        q[key] = _sql(SCORED, f"""select '{model_type}' as model_type, count(*) filter (where split = 'train') as train_rows,
+            count(*) filter (where split = 'val') as val_rows, count(*) filter (where split = 'test') as test_rows,
+            count(*) filter (where split = 'train' and label = 0) as negatives,
+            count(*) filter (where split = 'train' and label = 1) as positives,
+            round(count(*) filter (where split = 'train' and label = 0)
+                  / nullif(count(*) filter (where split = 'train' and label = 1), 0), 6) as weight_ratio,
+            true as metrics_valid from labelled""")
     return q

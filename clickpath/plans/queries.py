@@ -37,11 +37,12 @@ from ..schema import CORE_COLUMNS
 from ..sources import events as E
 from ..sources import lake as L
 from ..sources import testdata as T
+from ..sources.stage import stage
 
-# Session gaps of the checks, intake cap, replay cut points.
+# Session gaps of the checks, intake cap (a share of the rows), replay cut points.
 GAP = "30 minutes"
 LONG_GAP = "12 hours"
-INTAKE_CAP = 30000
+INTAKE_SHARE = 0.5
 STREAM_SPLIT = 0.5
 REPLAY_FROM = 0.75
 SCORE_PCT_THRESHOLD = 50
@@ -80,8 +81,8 @@ def sessions(spark: SparkSession, sf: str, gap: str = GAP, distinct: str = "exac
     return S.session_features(events(spark, sf), gap, distinct=distinct)
 
 
-def raw_sessions(spark: SparkSession, sf: str, gap: str = GAP) -> DataFrame:
-    return S.sessionize(events(spark, sf), gap, distinct="exact")
+def raw_sessions(spark: SparkSession, sf: str, gap: str = GAP, distinct: str = "none") -> DataFrame:
+    return S.sessionize(events(spark, sf), gap, distinct=distinct)
 
 
 def _score_pct() -> Column:
@@ -105,10 +106,8 @@ def rule_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    # Cutoffs from one aggregate row (measured faster here than scalar
-    # subqueries, which re-plan the session table once per reference, and
-    # than a reliable checkpoint of a table this small).
-    scored = rule_scored(spark, sf)
+    # Built once: the cutoffs and whatever the query does read the staged table.
+    scored = stage(rule_scored(spark, sf), "scored")
     return M.split_label(scored, M.split_cutoffs(scored))
 
 
@@ -143,7 +142,8 @@ def baseline_and_streamed(spark: SparkSession, sf: str) -> tuple[DataFrame, Data
 
 
 def registry_log(spark: SparkSession, sf: str) -> DataFrame:
-    decisions = promotion_decision(spark, sf, rounded=False)
+    # one row per day; the readers below look at it more than once
+    decisions = stage(promotion_decision(spark, sf, rounded=False), "decisions")
     return decisions.select(
         F.concat(F.date_format("day", "yyyyMMdd"), F.lit("_000000")).alias("version"),
         F.date_format("day", "yyyy-MM-dd").alias("trained_on"),
@@ -197,7 +197,7 @@ def q_lake_scan(spark, sf):
 
 
 def q_decode_events(spark, sf):
-    return finish(E.decode_events(T.messages(prepare(spark), sf)).select(*CORE_COLUMNS))
+    return finish(E.decode_events(T.edge_messages(prepare(spark), sf)).select(*CORE_COLUMNS))
 
 
 def q_encode_events(spark, sf):
@@ -205,7 +205,7 @@ def q_encode_events(spark, sf):
 
 
 def q_clean_events(spark, sf):
-    return finish(E.clean_events(E.decode_events(T.messages(prepare(spark), sf))))
+    return finish(E.clean_events(E.decode_events(T.edge_messages(prepare(spark), sf))))
 
 
 def q_sanitize_ids(spark, sf):
@@ -225,19 +225,18 @@ def q_sanitize_text(spark, sf):
 
 def q_reject_summary(spark, sf):
     prepare(spark)
-    raw = E.read_event_csv_checked(spark, T.csv_lines_path(spark, sf), header=False)
-    flagged = raw.select(F.col(E.CORRUPT_COL).isNotNull().alias("bad"),
-                         F.nullif(F.col("user_session"), F.lit("")).isNotNull().alias("has_session"))
-    return flagged.agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count(F.when(~F.col("bad"), 1)).alias("n_accepted"),
-        F.count(F.when(F.col("bad"), 1)).alias("n_rejected"),
-        F.count(F.when(~F.col("bad") & F.col("has_session"), 1)).alias("n_clean"),
-    )
+    accepted, rejected = E.split_rejects(E.read_event_csv_checked(spark, T.csv_lines_path(spark, sf), header=False))
+    # a scan may not read the corrupt-record column alone: name a data column on every side
+    side = lambda df, name: df.select(F.when(F.length(F.coalesce("event_type", F.lit(""))) >= 0, name).alias("side"))
+    sides = side(accepted, "accepted").unionByName(side(rejected, "rejected")).unionByName(side(E.clean_events(accepted), "clean"))
+    count = lambda *names: F.count_if(F.col("side").isin(*names))
+    return sides.agg(count("accepted", "rejected").alias("n_lines"), count("accepted").alias("n_accepted"),
+                     count("rejected").alias("n_rejected"), count("clean").alias("n_clean"))
 
 
 def q_bounded_replay(spark, sf):
-    return finish(E.bounded_replay(E.clean_events(events(spark, sf)), INTAKE_CAP))
+    ev = E.clean_events(events(spark, sf))
+    return finish(E.bounded_replay(ev, int(ev.count() * INTAKE_SHARE)))
 
 
 def q_archive_layout(spark, sf):
@@ -247,8 +246,9 @@ def q_archive_layout(spark, sf):
 
 
 def q_dedup_events(spark, sf):
-    _, streamed = baseline_and_streamed(spark, sf)
-    return finish(streamed.dropDuplicates(CORE_COLUMNS))
+    """All events with the replayed tail a second time."""
+    baseline, streamed = baseline_and_streamed(spark, sf)
+    return finish(baseline.unionByName(streamed).dropDuplicates(CORE_COLUMNS))
 
 
 def q_consolidate(spark, sf):
@@ -264,8 +264,8 @@ def q_session_windows(spark, sf):
     return finish(S.session_windows(events(spark, sf), GAP))
 
 
-def _raw_select(spark, sf, cols):
-    r = raw_sessions(spark, sf)
+def _raw_select(spark, sf, cols, distinct="none"):
+    r = raw_sessions(spark, sf, distinct=distinct)
     return finish(r.select(*_window_cols(r)[:2], *cols))
 
 
@@ -282,7 +282,7 @@ def q_session_counts(spark, sf):
 
 
 def q_session_distincts(spark, sf):
-    return _raw_select(spark, sf, ["distinct_products", "distinct_categories", "distinct_brands"])
+    return _raw_select(spark, sf, ["distinct_products", "distinct_categories", "distinct_brands"], "exact")
 
 
 def q_session_prices(spark, sf):
@@ -333,14 +333,11 @@ def q_class_balance(spark, sf):
 
 
 def q_class_weights(spark, sf):
-    train = _part(spark, sf, "train")
-    ratio, _, _ = M.weight_ratio(train)
-    return finish(M.class_balance(train).withColumn(
-        "class_weight", F.when(F.col("label") == 1, F.lit(ratio)).otherwise(F.lit(1.0))))
+    return finish(M.class_weight_table(_part(spark, sf, "train")))
 
 
 def q_purchase_rate(spark, sf):
-    s = sessions(spark, sf, GAP)
+    s = sessions(spark, sf, GAP, distinct="none")
     agg = s.agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("label").cast("long").alias("n_purchased"))
     return finish(agg.withColumn(
         "purchase_pct", 100.0 * F.col("n_purchased") / F.greatest(F.col("n_sessions"), F.lit(1))))
@@ -359,7 +356,12 @@ def q_best_threshold(spark, sf):
 
 
 def q_auc_ranksum(spark, sf):
-    return finish(M.area_under_roc(_part(spark, sf, "test")))
+    """Over two scores: the rule score (at most 100 values) and the mean price, with almost as many values as sessions."""
+    test = _part(spark, sf, "test")
+    both = test.select("label", F.explode(F.array(
+        F.struct(F.lit("rule").alias("score"), F.col("purchase_probability").alias("p")),
+        F.struct(F.lit("price").alias("score"), F.col("avg_price").alias("p")))).alias("s")).select("label", "s.*")
+    return finish(M.area_under_roc(both, score_col="p", group_cols=["score"]))
 
 
 def q_classification_metrics(spark, sf):
@@ -382,12 +384,15 @@ def q_classification_metrics(spark, sf):
 
 def promotion_decision(spark, sf, rounded: bool = True):
     scored = rule_scored(spark, sf).withColumn("day", F.to_date("session_start"))
-    champ = M.area_under_roc(scored, score_col="purchase_probability", group_cols=["day"]) \
-        .select("day", F.col("auc").alias("auc_champion"))
-    chall = M.area_under_roc(scored, score_col="probability_v2", group_cols=["day"]) \
-        .select("day", F.col("auc").alias("auc_challenger"), "n_pos", "n_neg")
+    # both scores in one frame, so that the sessions are built and counted once
+    both = scored.select("day", "label", F.explode(F.array(
+        F.struct(F.lit("champion").alias("model"), F.col("purchase_probability").alias("p")),
+        F.struct(F.lit("challenger").alias("model"), F.col("probability_v2").alias("p")))).alias("s")).select("day", "label", "s.*")
+    aucs = M.area_under_roc(both, score_col="p", group_cols=["day", "model"])
+    of = lambda model, c: F.max(F.when(F.col("model") == model, F.col(c)))
     out = (
-        chall.join(champ, "day")
+        aucs.groupBy("day").agg(of("challenger", "auc").alias("auc_challenger"), of("challenger", "n_pos").alias("n_pos"),
+                                of("challenger", "n_neg").alias("n_neg"), of("champion", "auc").alias("auc_champion"))
         .withColumn("improvement", F.col("auc_challenger") - F.col("auc_champion"))
         .withColumn("promoted", F.col("auc_challenger").isNotNull()
                     & M.promote(F.col("auc_challenger"), F.col("auc_champion")))
@@ -407,6 +412,10 @@ def q_active_champion(spark, sf):
     return finish(REG.active_champion(registry_log(spark, sf)))
 
 
+def q_registry_listing(spark, sf):
+    return finish(REG.registry_listing(registry_log(spark, sf)))
+
+
 def q_registry_history(spark, sf):
     from pyspark.sql import Window
     log = registry_log(spark, sf)
@@ -429,8 +438,7 @@ def q_running_counters(spark, sf):
 
 
 def q_headline_stats(spark, sf):
-    pred = _monitor_predictions(spark, sf)
-    return finish(MON.headline_stats(_counters(pred), pred))
+    return finish(MON.headline_of(_monitor_predictions(spark, sf)))
 
 
 def q_avg_probability(spark, sf):
@@ -494,40 +502,49 @@ def q_stream_scoring(spark, sf):
     """The scoring stream end to end: a logistic regression champion is fitted,
     saved and registered; the message files stream through the stateful
     session features into ``foreachBatch`` scoring with idempotent sinks; the
-    predictions table is the result (rows-only: the scores are model values)."""
+    keys of the predictions table are the result, and whether each probability
+    is one (the scores are model values)."""
     from . import training as TR
     from ..streaming import scoring as SC
     from ..streaming.sources import event_stream, message_stream
 
     prepare(spark)
     run = _run_dir(spark, sf, "scoring")
-    model, _, _ = TR.fit_and_tune(sessions(spark, sf, LONG_GAP), "logistic_regression")
+    model, _, _ = TR.fit_and_tune(stage(sessions(spark, sf, GAP), "training-sessions"), "logistic_regression")
     model.write().overwrite().save(f"{run}/models/v1")
-    REG.append_registry(spark, f"{run}/registry", hdfs_path=f"{run}/models/v1", version="v1",
-                        trained_on=sf, metrics={}, promoted=True)
+    REG.append_registry(spark, f"{run}/registry", hdfs_path=f"{run}/models/v1", version="v1", trained_on=sf,
+                        metrics={}, promoted=True, gap=GAP, distinct="exact", features=S.feature_columns())
     q = SC.start_scoring(event_stream(message_stream(spark, T.messages_path(spark, sf))),
                          champion=SC.ChampionCache(f"{run}/registry", poll_seconds=0),
                          predictions_path=f"{run}/predictions", metrics_path=f"{run}/metrics",
-                         checkpoint=f"{run}/checkpoint", distinct="exact", available_now=True)
+                         checkpoint=f"{run}/checkpoint", gap=GAP, distinct="exact", available_now=True)
     q.awaitTermination()
-    return finish(spark.read.parquet(f"{run}/predictions").drop("run_id", "batch_id"))
+    return finish(_scored_keys(spark.read.parquet(f"{run}/predictions")))
+
+
+def _scored_keys(predictions: DataFrame) -> DataFrame:
+    return predictions.select("user_session", "event_time", "model_version",
+                              F.col("purchase_probability").between(0.0, 1.0).alias("probability_valid"))
 
 
 # --------------------------------------------------------------------------
-# MLlib (rows-only checks; fitted values are not SQL-expressible)
+# MLlib (fitted values are not SQL-expressible: what they were fitted on is)
 # --------------------------------------------------------------------------
 
 def _train(spark, sf, model_type):
     from . import training as TR
-    s = sessions(spark, sf, LONG_GAP).cache()
-    try:
-        model, threshold, (_, _, test) = TR.fit_and_tune(s, model_type)
-        m = TR.evaluate(model, test)
-    finally:
-        s.unpersist()
-    m["decision_threshold"] = threshold
-    m["model_type"] = model_type
-    return spark.createDataFrame([m])
+    s = stage(sessions(spark, sf, LONG_GAP), "training-sessions")
+    model, threshold, parts = TR.fit_and_tune(s, model_type)
+    m = TR.evaluate(model, parts[2])
+    labelled = M.split_label(s, M.split_cutoffs(s))
+    in_split = lambda name: F.count_if(F.col("split") == name)
+    negatives, positives = (F.count_if((F.col("split") == "train") & (F.col("label") == y)) for y in (0, 1))
+    rows = labelled.agg(in_split("train").alias("train_rows"), in_split("val").alias("val_rows"), in_split("test").alias("test_rows"),
+                        negatives.alias("negatives"), positives.alias("positives"))
+    valid = all(0.0 <= v <= 1.0 for v in m.values()) and 0.05 <= threshold <= 0.95
+    return finish(rows.select(F.lit(model_type).alias("model_type"), "*",
+                              (F.col("negatives") / F.nullif(F.col("positives"), F.lit(0))).alias("weight_ratio"),
+                              F.lit(valid).alias("metrics_valid")))
 
 
 def q_train_lr(spark, sf):
@@ -544,9 +561,9 @@ def q_train_gbt(spark, sf):
 
 def q_score_sessions(spark, sf):
     from . import training as TR
-    s = sessions(spark, sf, LONG_GAP)
-    model, _, (_, _, test) = TR.fit_and_tune(s, "logistic_regression")
-    return finish(TR.score(model, test, "lr"))
+    s = stage(sessions(spark, sf, LONG_GAP), "training-sessions")
+    model, _, _ = TR.fit_and_tune(s, "logistic_regression")
+    return finish(_scored_keys(TR.score(model, s, "lr")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

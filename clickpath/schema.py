@@ -47,6 +47,7 @@ EVENT_SCHEMA = StructType([
     *WIRE_EVENT_SCHEMA.fields[1:],
 ])
 
+# The columns of the prediction and registry tables.
 PREDICTION_SCHEMA = StructType([
     StructField("user_session", StringType(), True),
     StructField("event_time", TimestampType(), True),
@@ -69,4 +70,8 @@ REGISTRY_SCHEMA = StructType([
     StructField("decision_threshold", DoubleType(), True),
     StructField("promoted", BooleanType(), False),
     StructField("created_at", TimestampType(), False),
+    # what the model was fitted on: a scorer must build the same features
+    StructField("gap", StringType(), True),
+    StructField("distinct_mode", StringType(), True),
+    StructField("features", StringType(), True),
 ])

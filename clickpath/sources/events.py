@@ -26,15 +26,15 @@ def read_event_csv_checked(spark: SparkSession, path: str, header: bool = True)
     """All fields as text plus ``_corrupt_record``, set for lines of wrong arity.
 
     Nothing is dropped here; :func:`split_rejects` separates the two sides.
-    The arity test needs every token of a line, so CSV column pruning is
-    switched off for the session (with pruning on, a query that reads only a
-    few columns tokenizes only those and never sees a short or long line).
+    The arity test needs every token of a line, so column pruning is switched
+    off for this read (with pruning on, a query that reads only a few columns
+    tokenizes only those and never sees a short or long line).
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     schema = StructType(RAW_TEXT_SCHEMA.fields + [StructField(CORRUPT_COL, StringType(), True)])
     return (
         spark.read.option("header", str(header).lower())
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", "false")
         .option("columnNameOfCorruptRecord", CORRUPT_COL)
         .schema(schema)
         .csv(path)
@@ -90,10 +90,17 @@ def clean_events(events: DataFrame) -> DataFrame:
     )
 
 
-def bounded_replay(events: DataFrame, n: int = 30000) -> DataFrame:
-    """The first ``n`` events in time order (intake cap; ties broken by all
-    columns), without an n-rows-per-partition merge (see ``operators.topk``)."""
+def bounded_replay(events: DataFrame, n: int | None = None) -> DataFrame:
+    """The first ``n`` events in time order (ties broken by all columns); no cap by default.
+
+    The cap may be a large share of the table, so the cut is found by minute
+    (see ``operators.topk``) over a staged copy of the input.
+    """
     from ..operators.topk import first_n_by_time
+    from .stage import stage
 
+    if n is None:
+        return events
+    events = stage(events, "replay")
     tie_break = [F.col(c).asc_nulls_first() for c in CORE_COLUMNS if c != "event_time"]
     return first_n_by_time(events, n, "event_time", tie_break)

@@ -68,12 +68,12 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*CORE_COLUMNS)
 
 
-def read_lake_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_lake_if_present(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
     """None only when the folder is missing or holds no data files."""
     if not path_exists(spark, path):
         return None
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     except AnalysisException as e:  # empty folder: unable to infer schema
         if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Unable to infer schema" in str(e):
             return None

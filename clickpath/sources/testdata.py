@@ -18,7 +18,6 @@ every row is kept and the checks cover the whole table.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,13 +153,14 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fingerprint(sf_dir: str) -> str:
     """Folder name for derived files: changes when the source table changes."""
+    from .lake import _fs_path
+
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    try:
-        st = os.stat(src)
-        stamp = f"{os.path.realpath(src)}:{st.st_size}:{st.st_mtime_ns}:v{DERIVATION_VERSION}"
-    except OSError:
-        stamp = f"{src}:v{DERIVATION_VERSION}"
-    return hashlib.sha1(stamp.encode()).hexdigest()[:16]
+    fs, path = _fs_path(SparkSession.active(), src)  # any store Spark reads
+    st = fs.getFileStatus(path)
+    files = fs.listStatus(path) if st.isDirectory() else [st]
+    stamp = ";".join(sorted(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
+    return hashlib.sha1(f"{stamp}:v{DERIVATION_VERSION}".encode()).hexdigest()[:16]
 
 
 _LOCKS: dict[str, threading.Lock] = {}
@@ -210,6 +210,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("user_session").alias("key"), event_json(ev).alias("value"))
 
 
+def edge_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of every event with, by fixed rules on ``k``, broken JSON,
+    blank sessions and times that do not parse."""
+    ev = adapted_events(spark, sf_dir, with_k=True)
+    rule = F.pmod(F.col("k"), F.lit(5)) == 0
+    of = lambda name: rule & (F.col("event_type") == name)
+    ev = ev.withColumn("user_session", F.when(of("purchase"), F.lit("")).otherwise(F.col("user_session")))
+    text = event_json(ev)
+    value = (F.when(of("signup"), F.concat(F.lit("{oops "), text))
+             .when(of("remove_from_cart"), F.replace(text, F.lit(" UTC"), F.lit(" nowhere"))).otherwise(text))
+    return ev.select(F.col("user_session").alias("key"), value.alias("value"))
+
+
 def messages_path(spark: SparkSession, sf_dir: str) -> str:
     """The JSON message values as text files (one message per line)."""
     return materialized(spark, sf_dir, "messages", lambda: messages(spark, sf_dir).select("value"), "text")

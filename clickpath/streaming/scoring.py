@@ -27,8 +27,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import monitor as MON
 from ..operators import registry as REG
-from ..operators.sessions import DEFAULT_GAP, stream_session_features
-from ..plans.training import purchase_probability
+from ..operators.sessions import DEFAULT_GAP, gap_micros, stream_session_features
+from ..plans.training import load_champion, purchase_probability
+from ..schema import FEATURE_COLS
 
 log = logging.getLogger(__name__)
 
@@ -37,10 +38,17 @@ SCORING_TRIGGER = "30 seconds"
 POLL_SECONDS = 30
 
 
+class FeatureMismatch(RuntimeError):
+    """The champion was fitted on other features than the stream builds."""
+
+
 @dataclass
 class ChampionCache:
+    """The champion of the registry; ``contract`` = (gap, distinct mode) of the sessions to be scored."""
+
     registry_path: str
     poll_seconds: float = POLL_SECONDS
+    contract: tuple[str, str] | None = None
     model: PipelineModel | None = None
     version: str | None = None
     path: str | None = None
@@ -54,14 +62,23 @@ class ChampionCache:
         row = REG.active_champion(REG.read_registry(spark, self.registry_path)).first()
         if row is None or row["hdfs_path"] == self.path:
             return
-        try:
-            model = PipelineModel.load(row["hdfs_path"].strip())
-        except Exception as e:  # keep serving the previous champion
-            log.warning("cannot load champion %s: %s", row["version"], e)
+        self._check(row)
+        model = load_champion(row["hdfs_path"])
+        if model is None:  # keep serving the previous champion
             return
         self.model, self.path, self.version = model, row["hdfs_path"], row["version"]
 
 
+    def _check(self, row) -> None:
+        """A model registered with its features must meet the same ones here; older rows carry none."""
+        if self.contract is None or row["gap"] is None:
+            return
+        gap, distinct = self.contract
+        if (gap_micros(row["gap"]), row["distinct_mode"], row["features"]) != (gap_micros(gap), distinct, ",".join(FEATURE_COLS)):
+            raise FeatureMismatch(f"champion {row['version']} was fitted on gap={row['gap']}, distinct={row['distinct_mode']}, "
+                                  f"features={row['features']}; this stream builds gap={gap}, distinct={distinct}")
+
+
 def _write_partitioned(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
@@ -153,7 +170,14 @@ def run_id_for(checkpoint: str) -> str:
 def start_scoring(events: DataFrame, *, champion: ChampionCache, predictions_path: str, metrics_path: str,
                   checkpoint: str, run_id: str | None = None, gap: str = DEFAULT_GAP, watermark: str = DEFAULT_GAP,
                   distinct: str = "sketch", trigger: str | None = SCORING_TRIGGER, available_now: bool = False,
-                  pending_path: str | None = None) -> StreamingQuery:
+                  pending_path: str | None = None, discard_unscored: bool = False) -> StreamingQuery:
+    """Without a champion, closed sessions are held in ``pending_path`` (by
+    default beside the predictions) until :func:`release_pending`;
+    ``discard_unscored`` drops them instead."""
+    if champion.contract is None:
+        champion.contract = (gap, distinct)
+    if pending_path is None and not discard_unscored:
+        pending_path = predictions_path.rstrip("/") + "-pending"
     sessions = stream_session_features(events, gap, watermark, distinct=distinct)
     run_id = run_id or run_id_for(checkpoint)
 

@@ -58,7 +58,7 @@ def test_recent_predictions_newest_first(spark):
 
 
 def reg_rows(spark, rows):
-    data = [(f"/m/{v}", v, "2019-10", auc, None, None, None, None, None, 0.5, promoted, created)
+    data = [(f"/m/{v}", v, "2019-10", auc, None, None, None, None, None, 0.5, promoted, created, "30 minutes", "exact", None)
             for v, auc, promoted, created in rows]
     return spark.createDataFrame(data, REGISTRY_SCHEMA)
 
@@ -73,6 +73,24 @@ def test_registry_active_champion(spark):
     state = {r.version: (r.is_active, r.n_models) for r in REG.registry_state(log).collect()}
     assert state["v5"] == (True, 5) and not state["v1"][0]
     assert [r.version for r in REG.registry_history(log).collect()] == ["v1", "v2", "v3", "v4", "v5"]
+    listing = REG.registry_listing(log).collect()
+    assert [(r.version, r.is_active) for r in listing] == [("v5", True), ("v4", False), ("v3", False), ("v2", False), ("v1", False)]
+
+
+def test_registry_rows_from_before_the_feature_columns(spark, tmp_path):
+    path = str(tmp_path / "old")
+    reg_rows(spark, [("v1", 0.8, True, dt.datetime(2026, 1, 1))]).drop("gap", "distinct_mode", "features").write.parquet(path)
+    REG.append_registry(spark, path, hdfs_path="/m/b", version="v2", trained_on="x", metrics={}, promoted=False, gap="1 hour",
+                        distinct="exact", features=["a"], created_at=dt.datetime(2026, 1, 2))
+    got = {r.version: (r.gap, r.features) for r in REG.read_registry(spark, path).collect()}
+    assert got == {"v1": (None, None), "v2": ("1 hour", "a")}
+
+
+def test_headline_from_predictions_equals_the_counter_form(spark):
+    for data in ([], [(m, m % 3 == 0) for m in range(10)]):
+        pred = preds(spark, data)
+        counters = MON.running_counters(MON.batch_metrics(pred, "model_version"))
+        assert MON.headline_of(pred).collect() == MON.headline_stats(counters, pred).collect()
 
 
 def test_registry_append_log(spark, scratch):
