@@ -122,10 +122,10 @@ def dropped_lines(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
     decided = materialize(
         lines.repartitionByRange(parts, "h0", "h1", "doc_id").sortWithinPartitions(*order)
         .mapInArrow(_decide(min_documents), _DECISION), "line-decisions")
-    # at most two open hashes a range
+    # at most two open hashes a range: its size depends on the number of ranges alone
     settled = (decided.where("kind = 1").groupBy("h0", "h1")
                .agg(F.sum("docs").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_documents))
-    late = (decided.where("kind = 2").select("h0", "h1", "doc_id", "pos").join(settled, ["h0", "h1"])
+    late = (decided.where("kind = 2").select("h0", "h1", "doc_id", "pos").join(F.broadcast(settled), ["h0", "h1"])
             .where("doc_id <> last").select("doc_id", "pos"))
     return decided.where("kind = 0").select("doc_id", "pos").unionByName(late)
 
@@ -134,7 +134,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for at in batch.column("drops").to_pylist():
-            keep = np.ones(max(at) + 1, bool)
+            keep = np.ones(-(-(max(at) + 1) // 8) * 8, bool)  # whole bytes: the last one's spare bits keep
             keep[at] = False
             out.append(zlib.compress(np.packbits(keep).tobytes()))
         yield pa.RecordBatch.from_arrays(
@@ -146,8 +146,8 @@ def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
                  min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(doc_id, n_dropped, keep_bitmap) of the documents that lose a line.
 
-    The bitmap holds a bit for each line up to the last dropped one (1: keep;
-    later lines stay), packed by ``numpy.packbits`` and compressed by zlib.
+    The bitmap holds a bit for each line up to the last dropped one and the end
+    of its byte (1: keep; later lines stay), packed by ``numpy.packbits`` and compressed by zlib.
     """
     return (dropped_lines(docs, min_code_points, min_documents).distinct()
             .groupBy("doc_id").agg(F.collect_list("pos").alias("drops"))
