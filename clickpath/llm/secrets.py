@@ -33,6 +33,7 @@ MIN_RUN = 20
 MIN_RATIO = 20.0
 MIN_RATIO_PER_CHAR = 0.8
 SAMPLES = 2000
+BACK_OFF = 50.0
 SEED = 20240229
 
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
@@ -104,13 +105,19 @@ def train_ratio(docs: DataFrame) -> np.ndarray:
     for r in rows:
         counts[r.label, r.pair] = max(0, r.n)
     counts[1] += _bigrams(("\n" + "\n".join(sample_strings()) + "\n").encode())
-    counts = counts.reshape(2, _N, _N)[:, :, 1:] + 0.1
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    logs = [np.log(transition_shares(c)) for c in counts.reshape(2, _N, _N)]
     ratio = np.zeros((_N, _N))
     ratio[:, 1:] = logs[1] - logs[0]
     return ratio
 
 
+def transition_shares(counts: np.ndarray) -> np.ndarray:
+    """(N, N - 1) probabilities of the next symbol; rare contexts lean on the symbol frequencies by ``BACK_OFF`` counts."""
+    pairs = counts[:, 1:]
+    symbols = pairs.sum(axis=0) + 0.5
+    return (pairs + BACK_OFF * symbols / symbols.sum()) / (pairs.sum(axis=1, keepdims=True) + BACK_OFF)
+
+
 def run_ratio(run: str, ratio: np.ndarray) -> float:
     code = _CODE[np.frombuffer(b"\n" + run.encode(), np.uint8)]
     return float(ratio[code[:-1], code[1:]].sum())
