@@ -94,4 +94,11 @@ def test_subset_sum_against_brute_force():
         take = subset_sum(lengths, counts, budget)
         assert all(0 <= t <= c for t, c in zip(take, counts))
         sums = {sum(n * k for n, k in zip(lengths, pick)) for pick in itertools.product(*[range(c + 1) for c in counts])}
-        assert sum(n * t for n, t in zip(lengths, take)) == max(s for s in sums if s <= budget)
+        best = min((s for s in sums), key=lambda s: (abs(s - budget), s))
+        assert sum(n * t for n, t in zip(lengths, take)) == best
+
+
+def test_packed_numbers_round_trip():
+    from clickpath.llm.hmm import pack_numbers, unpack_numbers
+    for numbers in ([], [0], [1, 255, 256, 70_000, 2**32 - 1]):
+        assert unpack_numbers(pack_numbers(np.array(numbers, np.int64))).tolist() == numbers
