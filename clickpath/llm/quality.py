@@ -102,8 +102,8 @@ def js_distance(p: Column, q: Column) -> Column:
     term = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
     parts = let(share(p), lambda a: let(share(q), lambda b: F.zip_with(
         a, b, lambda x, y: let((x + y) / 2, lambda m: (term(x, m) + term(y, m)) / 2))))
-    # ten digits: the same on every engine whatever the order of the sum
-    return F.when(total(p) * total(q) > 0, F.round(F.sqrt(F.greatest(total(parts), F.lit(0.0))), 10))
+    # eight digits: the same on every engine whatever the order of the sum
+    return F.when(total(p) * total(q) > 0, F.round(F.sqrt(F.greatest(total(parts), F.lit(0.0))), 8))
 
 
 def features(docs: DataFrame) -> DataFrame:
