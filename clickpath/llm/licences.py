@@ -115,7 +115,10 @@ def training_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_rows:
     spark = docs.sparkSession
     wordings = spark.createDataFrame(labelled_wordings(), "label string, text string")
     wordings = wordings.select("label", plain_words(F.col("text")).alias("tokens"))
-    drawn = docs.where("text is not null").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample_docs)
+    # the documents with the smallest hashes; a bound on the hash first, so that each task sends few rows to the sort
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40))
+    bound = int(min(1.0, 4 * sample_docs / max(1, docs.count())) * (1 << 40))
+    drawn = docs.where("text is not null").where(draw <= bound).orderBy(draw, "doc_id").limit(sample_docs)
     ordinary = (paragraphs(drawn).where(~F.arrays_overlap("tokens", F.lit(list(NOTICE_WORDS))))
                 .orderBy(F.xxhash64(F.lit(SEED), "tokens"), "doc_id", "paragraph").limit(sample_rows)
                 .select(F.lit(NONE).alias("label"), F.slice("tokens", 1, 60).alias("tokens")))
