@@ -67,6 +67,15 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(lengths)
 
 
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """uint32 numbers by byte planes, which the codecs of files and shuffles shrink well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -80,14 +89,19 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(row, last - row)
             row = last
             tokens, lengths = token_hashes(part.column("text"))
-            vocab, local = np.unique(tokens, return_inverse=True)
+            vocab, local, count = np.unique(tokens, return_inverse=True, return_counts=True)
+            # frequent words get small numbers, so most high bytes of the token numbers are zero
+            by_count = np.argsort(-count, kind="stable")
+            rank = np.empty(len(vocab), np.int64)
+            rank[by_count] = np.arange(len(vocab))
+            vocab, local = vocab[by_count], rank[local]
             held = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             train = np.bincount(local, np.repeat(~held, lengths), minlength=len(vocab)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int64()), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([held.tolist()], pa.list_(pa.bool_())), pa.array([lengths.tolist()], pa.list_(pa.int32())),
                 pa.array([vocab.view(np.int64)], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.int64())),
-                pa.array([local.astype(np.uint32).tobytes()], pa.binary())],
+                pa.array([pack_numbers(local)], pa.binary())],
                 ["block", "doc_id", "held_out", "lengths", "vocab", "train", "tokens"])
             block += 1
 
@@ -192,7 +206,7 @@ def _expectations(model: Model):
                 if not len(lengths):
                     continue
                 vocab = batch.column("vocab")[b].values.to_numpy()
-                bucket = (vocab & (BUCKETS - 1))[np.frombuffer(batch.column("tokens")[b].as_py(), np.uint32)]
+                bucket = (vocab & (BUCKETS - 1))[unpack_numbers(batch.column("tokens")[b].as_py())]
                 seen = True
                 for part in text_groups(lengths):
                     packed = pack(lengths[part], begins[part])
@@ -270,7 +284,7 @@ def _scorer(model: Model, tokens: np.ndarray, words: np.ndarray):
         inside = np.log10((c + 0.5) / (tokens[bucket_of] + 0.5 * (words[bucket_of] + 1)))
         lengths = np.array(block.column("lengths")[0].values).astype(np.int64)
         begins = np.cumsum(lengths) - lengths
-        local_id = np.frombuffer(block.column("tokens")[0].as_py(), np.uint32)
+        local_id = unpack_numbers(block.column("tokens")[0].as_py())
         by_text = lambda x: np.add.reduceat(x[local_id], begins)
         score = by_text(inside)
         bucket = bucket_of[local_id]
@@ -301,6 +315,6 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
     model, tokens, words = train(blocks, counts, states, rounds)
     local = (blocks.select("block", F.posexplode("vocab").alias("i", "word")).join(counts.select("word", "c"), "word")
              .where("c > 0").select(F.col("block").alias("home"), "i", "c"))
-    return blocks.groupBy("block").cogroup(local.groupBy("home")).applyInArrow(
+    return blocks.drop("train").groupBy("block").cogroup(local.groupBy("home")).applyInArrow(
         _scorer(model, tokens, words),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
