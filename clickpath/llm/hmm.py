@@ -32,6 +32,7 @@ ROUNDS = 5
 STAY = 0.98
 SEED = 20240229
 BLOCK_BYTES = 8 << 20
+BLOCKS_PER_TASK = 6
 END = np.uint64(0x5EED0F7E97E2D00D)
 TRANSITION_ROW = -1
 START_ROW = -2
@@ -267,8 +268,10 @@ def train(blocks: DataFrame, counts: DataFrame, states: int = STATES, rounds: in
     words[per_bucket["bucket"]] = per_bucket["v"]
     share = (tokens + 0.5) / (tokens + 0.5).sum()
     model = initial_model(share, states)
+    # a task adds up several blocks before it sends its bucket counts
+    grouped = blocks.coalesce(max(1, -(-blocks.count() // BLOCKS_PER_TASK)))
     for _ in range(rounds):
-        model = baum_welch_round(blocks, model, share)
+        model = baum_welch_round(grouped, model, share)
     return model, tokens, words
 
 
