@@ -5,13 +5,15 @@ cost is the bytes that change shard (:mod:`clickpath.llm.flow`).  Each old
 shard is a sequence of blocks (hash ranges of rows); its flow to each new
 shard is a run of that sequence, cut at the row nearest to the flow's byte
 offset.  Offsets come from block totals plus a running sum inside each block,
-so no task holds a shard.
+so no task holds a shard.  Equal rows are counted first and travel as runs of
+copies, no longer than a block; the copies of a run are placed one by one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from clickpath.llm.columns import row_digest
 from clickpath.llm.flow import min_cost_transport
 from clickpath.llm.storage import materialize
 
@@ -50,36 +52,51 @@ def solve_moves(old_bytes: dict[int, int], new_shards: int) -> tuple[list[int],
 
 
 def reshard(docs: DataFrame, old_shard: Column | None = None, new_shards: int = NEW_SHARDS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, text_crc32, old_shard, shard, slot.
+    """One row per row of ``docs``: doc_id, size, text_crc32, digest_a, digest_b, old_shard, shard, slot.
 
     Shards 0 .. new_shards-1 have sizes as near equal as rows allow; ``slot``
     counts the rows of a shard from 0 without a gap.  A null text has size 1
     and the checksum of the empty text; null ids, repeated rows and ties are
-    rows like any other.  An empty table gives no rows.  Reruns agree.
+    rows like any other.  An empty table gives no rows.  Reruns agree.  The
+    digests are those of :func:`clickpath.llm.columns.row_digest`.
     """
     spark = docs.sparkSession
     old_shard = old_shard_of(F.col("doc_id")) if old_shard is None else old_shard
     text = F.coalesce(F.col("text"), F.lit(""))
+    identity = ["doc_id", "size", "text_crc32", "digest_a", "digest_b", "old_shard"]
+    a, b = row_digest(docs)
     sized = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), byte_size(F.col("text")).alias("size"),
-                    F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), old_shard.alias("old_shard")), "sized")
+                    F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), a.alias("digest_a"), b.alias("digest_b"),
+                    old_shard.alias("old_shard")), "sized")
     olds = {r[0]: (r[1], r[2]) for r in sized.groupBy("old_shard").agg(F.sum("size"), F.count(F.lit(1))).collect()}
     if not olds:
         return sized.select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     _, moves = solve_moves({i: b for i, (b, _) in olds.items()}, new_shards)
-    blocks = max(MIN_BLOCKS, -(-max(n for _, n in olds.values()) // BLOCK_ROWS))
-
-    in_block = Window.partitionBy("old_shard", "block").orderBy("key", "doc_id", "text_crc32", "size")
-    rows = (sized.withColumn("key", F.xxhash64(F.lit("block"), "doc_id", "text_crc32"))
-            .withColumn("block", F.pmod("key", F.lit(blocks)).cast("int")))
-    totals = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    largest = max(n for _, n in olds.values())
+    blocks = max(MIN_BLOCKS, -(-largest // BLOCK_ROWS))
+    most = -(-largest // blocks)
+
+    # equal rows as runs of at most a mean block's rows; later runs of a row go to other blocks
+    runs_of = F.floor((F.col("equal") - 1) / most).cast("long")
+    rows = (sized.groupBy(*identity).agg(F.count(F.lit(1)).alias("equal"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), runs_of)))
+            .withColumn("copies", F.least(F.lit(most).cast("long"), F.col("equal") - F.col("part") * most))
+            .withColumn("key", F.xxhash64(F.lit("block"), "doc_id", "text_crc32"))
+            .withColumn("key", F.when(F.col("part") == 0, F.col("key")).otherwise(F.xxhash64("key", "part")))
+            .withColumn("block", F.pmod("key", F.lit(blocks)).cast("int")).withColumn("bytes", F.col("size") * F.col("copies")))
+    in_block = (Window.partitionBy("old_shard", "block").orderBy("key", "doc_id", "text_crc32", "size", "digest_a", "digest_b", "part")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    totals = rows.groupBy("old_shard", "block").agg(F.sum("bytes").alias("block_bytes"), F.sum("copies").alias("n"))
     before = Window.partitionBy("old_shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("old_shard", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("byte_base"),
+    totals = totals.select("old_shard", "block", F.coalesce(F.sum("block_bytes").over(before), F.lit(0)).alias("byte_base"),
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("row_base"))
-    placed = (rows.withColumn("run", F.sum("size").over(in_block)).withColumn("rank", F.row_number().over(in_block))
+    placed = (rows.withColumn("run", F.sum("bytes").over(in_block) - F.col("bytes"))
+              .withColumn("rank", F.sum("copies").over(in_block) - F.col("copies"))
               .join(totals, ["old_shard", "block"])
-              .withColumn("middle", F.col("byte_base") + F.col("run") - F.col("size") / 2)
-              .withColumn("rank", F.col("row_base") + F.col("rank") - 1))
+              .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+              .withColumn("middle", F.col("byte_base") + F.col("run") + F.col("size") * F.col("copy") + F.col("size") / 2)
+              .withColumn("rank", F.col("row_base") + F.col("rank") + F.col("copy")))
     cuts, end = [], {}
     for i, runs in moves.items():
         start = 0
@@ -90,7 +107,7 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, new_shards: int =
     cut_rows = spark.createDataFrame(cuts, "old_shard int, shard int, low long, high long")
     placed = materialize(
         placed.join(F.broadcast(cut_rows), "old_shard").where("middle >= low and middle < high")
-        .select("doc_id", "size", "text_crc32", "old_shard", "shard", "rank"), "placed")
+        .select(*identity, "shard", "rank"), "placed")
     pieces = placed.groupBy("shard", "old_shard").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("first"))
     shift = {}
     for r in sorted(pieces.collect()):
@@ -98,7 +115,7 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, new_shards: int =
         end[r.shard] = end.get(r.shard, 0) + r.n
     shifts = spark.createDataFrame([(j, i, s) for (j, i), s in shift.items()], "shard int, old_shard int, shift long")
     return (placed.join(F.broadcast(shifts), ["shard", "old_shard"])
-            .select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("rank") + F.col("shift")).alias("slot")))
+            .select(*identity, "shard", (F.col("rank") + F.col("shift")).alias("slot")))
 
 
 def rewrite_affected(docs: DataFrame, plan: DataFrame, out: str) -> list[int]:

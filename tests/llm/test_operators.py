@@ -119,6 +119,21 @@ def test_reshard_sizes_slots_and_least_moves(spark):
     assert {(r.doc_id, r.shard, r.slot) for r in got} == {(r.doc_id, r.shard, r.slot) for r in again}
 
 
+def test_reshard_spreads_a_repeated_row(spark):
+    rng = random.Random(16)
+    rows = [(i, prose(rng, rng.randint(5, 40))) for i in range(2000)]
+    for repeated in ((None, prose(rng, 22)), (77_777, prose(rng, 22))):
+        got = reshard.reshard(docs_df(spark, rows + [repeated] * 1000)).collect()
+        assert collections.Counter(r.doc_id for r in got) == collections.Counter([d for d, _ in rows] + [repeated[0]] * 1000)
+        size, slots = collections.Counter(), collections.defaultdict(list)
+        for r in got:
+            size[r.shard] += r.size
+            slots[r.shard].append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        mean, largest = sum(size.values()) / 16, max(r.size for r in got)
+        assert len(size) == 16 and max(abs(v - mean) for v in size.values()) <= 4 * largest
+
+
 def test_reshard_rewrites_only_affected_shards(spark, scratch):
     from pyspark.sql import functions as F
     docs = docs_df(spark, [(i, "x" * 9) for i in range(400)])
