@@ -121,13 +121,28 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, new_shards: int =
 def rewrite_affected(docs: DataFrame, plan: DataFrame, out: str) -> list[int]:
     """Write the new files of the shards that gain or lose a row, under ``out/shard=N``; returns their numbers.
 
-    ``plan`` is the result of :func:`reshard` for ``docs`` (doc_ids unique).
+    ``plan`` is the result of :func:`reshard` for ``docs``.  Rows meet their
+    plan by digest, and equal rows are written as often as planned, so ids may
+    be null or repeated.  A shard that loses all its rows gets an empty file.
     Shards that keep exactly their rows are not touched.
     """
-    plan = plan.select("doc_id", "old_shard", "shard")
+    digests = ["digest_a", "digest_b"]
     moved = plan.where("old_shard <> shard").select(F.explode(F.array("old_shard", "shard")).alias("shard"))
     affected = sorted(r[0] for r in moved.distinct().collect())
-    (docs.join(plan.where(F.col("shard").isin(affected)).select("doc_id", "shard"), "doc_id")
-     .repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(8)))
+    plan = plan.where(F.col("shard").isin(affected))
+    columns = [c for c in docs.columns if c != "shard"]
+    # runs of at most BLOCK_ROWS equal rows, so that no task writes all copies of one row
+    runs = (plan.groupBy(*digests, F.col("shard").alias("new_shard")).agg(F.count(F.lit(1)).alias("equal"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("equal") - 1) / BLOCK_ROWS).cast("long"))))
+            .withColumn("copies", F.least(F.lit(BLOCK_ROWS).cast("long"), F.col("equal") - F.col("part") * BLOCK_ROWS)))
+    a, b = row_digest(docs)
+    (docs.select(a.alias("digest_a"), b.alias("digest_b"), *columns).dropDuplicates(digests)
+     .join(runs.select(*digests, F.struct("new_shard", "part", "copies").alias("run")), digests)
+     .repartition(F.col("run.new_shard"), F.pmod(F.xxhash64("digest_a", "run.part"), F.lit(8)))
+     .select(*columns, F.col("run.new_shard").alias("shard"), F.explode(F.sequence(F.lit(1).cast("long"), "run.copies")).alias("copy")).drop("copy")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(out))
+    filled = {r[0] for r in plan.select("shard").distinct().collect()}
+    for j in affected:
+        if j not in filled:
+            docs.select(*columns).limit(0).write.mode("overwrite").parquet(f"{out.rstrip('/')}/shard={j}")
     return affected

@@ -147,6 +147,22 @@ def test_reshard_rewrites_only_affected_shards(spark, scratch):
     assert reshard.rewrite_affected(docs, still, f"{scratch}/same") == []
 
 
+def test_reshard_rewrites_null_ids_repeated_rows_and_fewer_shards(spark, scratch):
+    from pyspark.sql import functions as F
+    rows = [(i, f"text {i}") for i in range(200)] + [(None, f"no id {i % 20}") for i in range(60)] + [(7, "again")] * 30 + [(8, "one"), (8, "two")]
+    docs = docs_df(spark, rows)
+    old = F.pmod(F.xxhash64("text"), F.lit(6)).cast("int")
+    for shards in (4, 8):
+        out = f"{scratch}/out{shards}"
+        docs.withColumn("shard", old).write.partitionBy("shard").parquet(out)
+        plan = reshard.reshard(docs, old, shards)
+        affected = reshard.rewrite_affected(docs, plan, out)
+        assert shards > 4 or {4, 5} <= set(affected)
+        back = spark.read.parquet(out).collect()
+        assert collections.Counter((r.doc_id, r.text) for r in back) == collections.Counter(rows)
+        assert collections.Counter(r.shard for r in back) == collections.Counter(r.shard for r in plan.collect())
+
+
 # --- mixture ---------------------------------------------------------------------------------------------------
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
