@@ -6,9 +6,10 @@
 3. ``COORDINATES / ROWS`` band keys put representatives into buckets.  A pair
    at Jaccard 0.85 shares no bucket with probability (1 - 0.85**4)**24 < 2.1e-8.
 4. Buckets are compared in square blocks of at most about ``2 * BLOCK``
-   members: first by sketch (a pair is looked at in the first band it shares,
-   and passes if its estimate is within five standard deviations of the
-   threshold), then on the full sets of the members that have a partner left.
+   members: first by sketch (a pair is looked at in the first band whose 64-bit
+   key it shares, and passes unless its estimate is so low that a pair at the
+   threshold has it with probability below ``MISS``), then on the full sets of
+   the members that have a partner left.
    A block returns a spanning forest of its links, never all its pairs.
 5. Links are joined into components by alternating large-star and small-star
    steps; no step collects links or components.
@@ -16,6 +17,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ COORDINATES = 96
 ROWS = 4
 BLOCK = 512
 THRESHOLD_PCT = 85
-SIGMAS = 5.0
+MISS = 1e-8
 
 _SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, coords binary"
 _BUCKET_ROW = "key long, band int, cell_i int, cell_j int, side int, rep long"
@@ -107,12 +109,12 @@ def _runs(table: pa.Table, keys: list[str]) -> list[tuple[int, int]]:
 _CELL = ["key", "cell_i", "cell_j"]
 
 
-def _first_band_pairs(coords: np.ndarray, band: int, side: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+def _first_band_pairs(coords: np.ndarray, keys: np.ndarray, band: int, side: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of a cell whose estimate passes and whose first common band is ``band``.
 
+    The band is that of the bucket keys: coordinates are cut, so equal ones need not mean a common bucket.
     In a cell on the diagonal all members have side 0; else pairs run across the sides.
     """
-    n = len(coords)
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1)
     diagonal = not len(right)
@@ -128,8 +130,7 @@ def _first_band_pairs(coords: np.ndarray, band: int, side: np.ndarray, need: int
         i, j = np.nonzero(passes)
         if not len(i):
             continue
-        bands = equal[i, j].reshape(len(i), n and coords.shape[1] // ROWS, ROWS).all(axis=2)
-        first = bands.argmax(axis=1)
+        first = (keys[mine[i]] == keys[right[j]]).argmax(axis=1)
         ok = first == band
         found_i.append(mine[i[ok]])
         found_j.append(right[j[ok]])
@@ -139,15 +140,23 @@ def _first_band_pairs(coords: np.ndarray, band: int, side: np.ndarray, need: int
 
 
 def _estimate_floor(threshold_pct: int) -> int:
+    """The most equal coordinates that a pair at the threshold falls short of with probability below ``MISS`` (exact binomial)."""
     p = threshold_pct / 100
-    return max(ROWS, int(np.floor(COORDINATES * p - SIGMAS * np.sqrt(COORDINATES * p * (1 - p)))))
+    below, need = 0.0, 0
+    while need < COORDINATES:
+        below += math.comb(COORDINATES, need) * p**need * (1 - p) ** (COORDINATES - need)
+        if below >= MISS:
+            break
+        need += 1
+    return max(ROWS, need)
 
 
 def _cell_pairs(table: pa.Table, a: int, b: int, need: int) -> tuple[np.ndarray, np.ndarray]:
     raw = table.column("coords").slice(a, b - a).to_pylist()
     coords = np.frombuffer(b"".join(raw), np.uint16).reshape(b - a, COORDINATES)
+    keys = table.column("bands").slice(a, b - a).combine_chunks().flatten().to_numpy().reshape(b - a, -1)
     side = table.column("side").slice(a, b - a).to_numpy()
-    return _first_band_pairs(coords, int(table.column("band")[a].as_py()), side, need)
+    return _first_band_pairs(coords, keys, int(table.column("band")[a].as_py()), side, need)
 
 
 def _promising(threshold_pct: int):
@@ -242,7 +251,7 @@ def near_links(docs: DataFrame, sigs: DataFrame, threshold_pct: int = THRESHOLD_
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
         .select("key", "band", F.least("mine", "other").alias("cell_i"), F.greatest("mine", "other").alias("cell_j"),
                 F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "rep"))
-    coords = reps.select("rep", "coords")
+    coords = reps.select("rep", "coords", "bands")
     promising = materialize(
         cell_rows.join(coords, "rep").repartition(*_CELL).sortWithinPartitions(*_CELL)
         .mapInArrow(_promising(threshold_pct), _BUCKET_ROW), "cells")

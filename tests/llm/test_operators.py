@@ -310,6 +310,26 @@ def test_near_duplicates_in_split_buckets(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_whose_cut_coordinates_collide_in_an_earlier_band():
+    import numpy as np
+    import pyarrow as pa
+    cut = np.tile(np.arange(neardup.COORDINATES, dtype=np.uint16), (2, 1))
+    bands = neardup.COORDINATES // neardup.ROWS
+    keys = np.tile(np.arange(bands, dtype=np.int64), (2, 1))
+    keys[1, :3] += 1000
+    for band in range(bands):
+        table = pa.table({"coords": [x.tobytes() for x in cut], "bands": keys.tolist(), "side": [0, 0], "band": [band] * 2})
+        found = [x.tolist() for x in neardup._cell_pairs(table, 0, 2, 60)]
+        assert found == ([[0], [1]] if band == 3 else [[], []])
+
+
+def test_estimate_floor_loses_fewer_links_than_the_bands():
+    for pct in (80, 85, 90):
+        p, need = pct / 100, neardup._estimate_floor(pct)
+        below = lambda n: sum(math.comb(96, k) * p**k * (1 - p)**(96 - k) for k in range(n))
+        assert below(need) < 1e-8 <= below(need + 1)
+
+
 def test_connected_components_of_a_long_path(spark):
     n = 70
     order = list(range(n))
