@@ -230,6 +230,21 @@ def test_decontamination_finds_copies_and_changed_values_only(spark):
     assert decontaminate.contaminated(docs_df(spark, []), bench_df(spark, [(1, ITEM)])).collect() == []
 
 
+def test_decontamination_finds_copies_in_any_case_and_short_or_name_heavy_items(spark):
+    rng = random.Random(18)
+    pad = lambda: prose(rng, 30)
+    names = "Anna Berta Clara Dora Emil Fritz Georg Hans Ida Jakob Karl Ludwig 12 13 14"
+    street = "Die lange Straße führt vom Bahnhof über die Brücke bis zum alten Markt"
+    items = [(1, ITEM), (2, names), (3, "What is 7 times 8"), (4, street)]
+    rows = [(1, f"{pad()} {ITEM.upper()} {pad()}"), (2, f"{pad()} {ITEM.lower()} {pad()}"), (3, f"{pad()} {ITEM.title()}. {pad()}"),
+            (4, f"{pad()} {names} {pad()}"), (5, f"{pad()} what IS 7 times 8? {pad()}"), (6, f"{pad()} What is 7 times 9 {pad()}"),
+            (7, f"{pad()} {' '.join(ITEM.split()[4:18]).upper()} {pad()}"), (8, pad()), (9, f"{pad()} {street.upper()} {pad()}"),
+            (10, f"{pad()} {' '.join(names.split()[::-1])} {pad()}")]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs_df(spark, rows), bench_df(spark, items)).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (7, 1), (9, 4)}
+    assert all(r.n_changed == 0 for r in got.values())
+
+
 def test_decontamination_shuffle_join_gives_the_same(spark, monkeypatch):
     docs, bench = docs_df(spark, [(1, ITEM), (2, "nothing " * 30)]), bench_df(spark, [(1, ITEM)])
     first = decontaminate.contaminated(docs, bench).collect()
