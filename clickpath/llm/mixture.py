@@ -10,6 +10,8 @@ taken is a seeded draw by hash.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -147,8 +149,8 @@ def source_targets(hist: DataFrame, weights: tuple[int, ...], share: float, cap:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
-                seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, repeats.
+                seed: int = SEED, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, repeats, and the columns to carry.
 
     ``repeats`` is how often the mix takes the document, at most ``cap`` times:
     whole repeats of its source, and more if the draw of its length takes it.  Null and empty
@@ -159,7 +161,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     sized = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("src"),
                     word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id").alias("draw"),
-                    F.xxhash64("text").alias("tie")), "mix-sizes")
+                    F.xxhash64("text").alias("tie"), *carry), "mix-sizes")
     hist = sized.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n"))
     targets = source_targets(hist, weights, share, cap)
     same = lambda a, b: a["src"].eqNullSafe(b["src"])
@@ -184,6 +186,6 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
         rows.join(b, rows["src"].eqNullSafe(b["src"]) & (rows["size"] == b["size"]) & (rows["bucket"] == b["bucket"]), "left")
         .select("doc_id", rows["src"], rows["size"],
                 F.coalesce(F.col("repeats") + (place <= F.col("extra")).cast("long") + (place + F.col("n") <= F.col("extra")).cast("long"),
-                           F.lit(0)).alias("repeats")))
+                           F.lit(0)).alias("repeats"), *carry))
     return (taken.join(targets, same(taken, targets))
-            .select("doc_id", taken["src"].alias("source"), "size", "source_size", "target", "repeats"))
+            .select("doc_id", taken["src"].alias("source"), "size", "source_size", "target", "repeats", *carry))

@@ -9,6 +9,8 @@ short documents or thin references are not judged.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickpath.llm.columns import NOT_SPACE, let, window_hashes, words
@@ -106,21 +108,21 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when(total(p) * total(q) > 0, F.round(F.sqrt(F.greatest(total(parts), F.lit(0.0))), 8))
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, base metrics and both histograms; texts do not go on."""
+def features(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, lang, base metrics, both histograms and the columns to carry; texts do not go on."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+                       F.coalesce("text", F.lit("")).alias("text"), *carry)
     rows = rows.select("*", words(F.col("text")).alias("tokens"), class_marks(F.col("text")).alias("marks"))
     rows = rows.select("*", window_hashes(F.col("tokens"), WINDOW).alias("windows"))
     symbols, space = (list(CLASSES).index(m) for m in "# ")
     rows = rows.select(
         "doc_id", "lang", F.size("tokens").cast("long").alias("n_words"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
         repeated_words(F.col("windows")).alias("n_repeat_words"), F.length("text").cast("long").alias("chars"),
-        class_counts(F.col("text"), F.col("marks")).alias("classes"), common_counts(F.col("tokens"), F.col("lang")).alias("common"))
+        class_counts(F.col("text"), F.col("marks")).alias("classes"), common_counts(F.col("tokens"), F.col("lang")).alias("common"), *carry)
     return materialize(rows.select(
         "doc_id", "lang", "n_words", (F.col("chars") - F.col("classes")[space]).alias("word_chars"),
         F.col("classes")[symbols].alias("n_symbols"), "n_dup_lines", "n_repeat_words", "chars", "classes", "common",
-        ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))).alias("base_failed")),
+        ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))).alias("base_failed"), *carry),
         "quality")
 
 
@@ -143,16 +145,16 @@ def references(rows: DataFrame) -> DataFrame:
             .where(F.col("n") >= MIN_REFERENCE_WORDS).select(F.col("lang").alias("ref_lang"), "ref_classes", "ref_common"))
 
 
-def judge_quality(docs: DataFrame) -> DataFrame:
+def judge_quality(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    kept, char_distance, word_distance.
+    kept, char_distance, word_distance, and the columns to carry.
 
     A null or empty text has no words and fails the base rules.  A null or
     unknown language is its own reference for characters and is not judged by
     common words; a distance that is not judged is null.  Null ids and repeated
     rows are judged like any other; an empty table gives no rows.
     """
-    rows = features(docs)
+    rows = features(docs, carry)
     refs = references(rows)
     as_double = lambda c: F.transform(c, lambda v: v.cast("double"))
     far = (rows.join(F.broadcast(refs), rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
@@ -160,8 +162,8 @@ def judge_quality(docs: DataFrame) -> DataFrame:
     far = far.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.when(F.col("chars") >= MIN_JUDGED_CHARS, js_distance(as_double(F.col("classes")), F.col("ref_classes"))).alias("char_distance"),
-        F.when(F.col("n_words") >= MIN_JUDGED_WORDS, js_distance(as_double(F.col("common")), F.col("ref_common"))).alias("word_distance"))
+        F.when(F.col("n_words") >= MIN_JUDGED_WORDS, js_distance(as_double(F.col("common")), F.col("ref_common"))).alias("word_distance"), *carry)
     fits = (F.coalesce(F.col("char_distance") <= MAX_CHAR_DISTANCE, F.lit(True))
             & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
     return far.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      (~F.col("base_failed") & fits).alias("kept"), "char_distance", "word_distance")
+                      (~F.col("base_failed") & fits).alias("kept"), "char_distance", "word_distance", *carry)

@@ -2,9 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that the runner
 writes as Parquet and reads back as the next stage's ``docs``; all but the
-last return the columns of ``documents``.  A row without a doc_id cannot be
-named by a decision: the two stages that keep named documents drop it.
-Repeated rows leave the near-duplicate stage once; the mix repeats rows on
+last return the columns of ``documents``.  Decisions find their row by a digest
+of all its columns, not by its id, so rows without an id and different rows
+under one id are kept or rejected on their own.  Repeated rows leave the near-duplicate stage once; the mix repeats rows on
 purpose, and the shards hold each repeat.  Empty tables pass through.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickpath.llm.columns import row_digest
 from clickpath.llm.decontaminate import contaminated
 from clickpath.llm.mixture import mix_sources
 from clickpath.llm.neardup import near_duplicate_groups
@@ -20,29 +21,46 @@ from clickpath.llm.reshard import reshard
 from clickpath.llm.storage import materialize
 
 
+DIGESTS = ["digest_a", "digest_b"]
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """``docs`` and the digests of its rows."""
+    return docs.select("*", *[d.alias(name) for d, name in zip(row_digest(docs), DIGESTS)])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = judge_quality(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    rows = named(docs)
+    kept = judge_quality(rows, DIGESTS).where("kept").select(DIGESTS).distinct()
+    return rows.join(kept, DIGESTS, "left_semi").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
-    kept = near_duplicate_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """The document with the smallest id of each near-duplicate group (one without an id if none has one)."""
+    rows = materialize(named(docs).withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    groups = near_duplicate_groups(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+    # texts without words stand alone, but repeated rows leave once
+    alone = F.col("n_shingles") == 0
+    of = [F.when(~alone, F.col("component_id")).alias("group"), *[F.when(alone, F.col(d)).alias(f"alone_{d}") for d in DIGESTS]]
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *DIGESTS, "row")).alias("first")
+    kept = groups.join(rows.select("row", "doc_id", *DIGESTS), "row").groupBy(*of).agg(first).select("first.row")
+    return rows.join(kept, "row", "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of any benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    found = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    rows = named(docs)
+    found = contaminated(rows, benchmark, DIGESTS).select(DIGESTS).distinct()
+    return rows.join(found, DIGESTS, "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    taken = mix_sources(docs).where("repeats > 0").groupBy("doc_id").agg(F.max("repeats").alias("repeats"))
-    return (docs.join(taken, "doc_id").withColumn("repeats", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
+    rows = named(docs)
+    taken = mix_sources(rows, carry=DIGESTS).where("repeats > 0").groupBy(DIGESTS).agg(F.sum("repeats").alias("repeats"))
+    return (rows.join(taken, DIGESTS).dropDuplicates(DIGESTS).withColumn("repeats", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
             .select(docs.columns))
 
 

@@ -5,6 +5,7 @@ import glob
 import itertools
 import math
 import os
+import random
 import re
 import zlib
 
@@ -17,7 +18,7 @@ from clickpath.llm import mixture, quality
 from clickpath.llm.queries import ORACLE_SQL, QUERIES
 
 from conftest import SF_SMALL
-from test_operators import WORD, brute_base, brute_components, brute_targets, docs_df
+from test_operators import WORD, brute_base, brute_components, brute_targets, docs_df, prose
 
 HERE = SF_SMALL
 
@@ -170,6 +171,26 @@ def test_pipeline_against_brute_force(spark):
     assert max(abs(load[j] - mean) for j in range(16)) <= 4 * max(r.size for r in out)
 
 
+def test_pipeline_decides_by_row_not_by_id(spark, scratch):
+    rng = random.Random(19)
+    item, *clean = (prose(rng, 60) for _ in range(8))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    rows = [(None, clean[0]), (None, clean[1]), (1, clean[2]), (1, clean[3]), (2, clean[4]), (2, "too short"), (3, clean[5]), (3, clean[5]),
+            (None, clean[5]), (4, clean[6]), (4, item), (None, item), (None, "short too")]
+    df, texts = docs_df(spark, rows), {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        columns, df = df.columns, stage(spark, df, scratch)
+        assert df.columns == columns
+        df = spark.createDataFrame(df.collect(), df.schema)
+        texts[name] = sorted((r.doc_id or 0, r.text) for r in df.collect())
+    long = sorted((d or 0, t) for d, t in rows if len(t) > 20)
+    assert texts["quality"] == long
+    once = sorted({x for x in long if x != (0, clean[5]) and x != (0, item)})
+    assert texts["near_dedup"] == once
+    assert texts["decontaminate"] == [x for x in once if x[1] != item]
+    assert {x for x in texts["mix"]} == set(texts["decontaminate"])
+
+
 def test_pipeline_passes_empty_and_odd_tables(spark, scratch):
     spark.read.parquet(f"{HERE}/benchmark.parquet").write.parquet(f"{scratch}/benchmark.parquet")
     for name, rows in (("empty", []), ("odd", [(None, "no id"), (1, None), (2, ""), (3, "a b"), (3, "a b"), (4, "word " * 3000, None, None)])):
