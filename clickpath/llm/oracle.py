@@ -117,8 +117,75 @@ FROM far
 """
 
 
+SUBSTRINGS = rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+wins AS (SELECT rid, unnest(range(1, len(ws) - 33)) AS i, ws FROM w WHERE len(ws) >= 35),
+seqs AS (SELECT rid, i, array_to_string(ws[i:i+34], ' ') AS s FROM wins),
+rep AS (SELECT rid, i FROM seqs QUALIFY count(*) OVER (PARTITION BY s) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM rep),
+lost AS (SELECT rid, list(p) AS ps FROM gone GROUP BY rid),
+kept AS (
+  SELECT doc_id, len(ws) AS n_words, list_filter(ws, lambda x, p: ps IS NULL OR NOT list_contains(ps, p)) AS ks
+  FROM w LEFT JOIN lost USING (rid))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_words - len(ks) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(ks, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+CONVERSATION_TRIE = """
+WITH t AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS l FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, l, list_reduce(
+    flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, b: xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END), CAST(4294967295 AS BIGINT)) AS crc FROM own),
+seqs AS (
+  SELECT h.conv_id, list_concat(coalesce(base.l[1:xor(crc, 4294967295) % 6], []), h.l[xor(crc, 4294967295) % 6 + 1:]) AS s
+  FROM h LEFT JOIN own base ON base.conv_id = h.conv_id - h.conv_id % 100),
+members AS (SELECT conv_id, len(s) AS n, s[1:d] AS p, d FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM members GROUP BY p, d),
+kids AS (SELECT p[1:d-1] AS p, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.d = n.d AND k.p = n.p),
+up AS (
+  SELECT p[1:a] AS p, a AS d, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         sum(CASE WHEN d > 0 THEN (n_convs - 1) * length(p[d].text) ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes) GROUP BY 1, 2)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, f.n_convs, f.n_children, up.n_leaves,
+       CAST(up.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN up ON up.d = f.d AND up.p = f.p LEFT JOIN nodes parent ON parent.d = f.d - 1 AND parent.p = f.p[1:f.d-1]
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RANKED_SEARCH = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER_TEXT}, '{_TERM}') AS ts FROM documents),
+sized AS (SELECT rid, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM sized) GROUP BY rid, t),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER_TEXT}, '{_TERM}')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole
+  WHERE t IN (SELECT t FROM wanted) GROUP BY t, n_docs),
+scored AS (
+  SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (t) JOIN tf USING (t) JOIN sized USING (rid), whole GROUP BY item_id, rid, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 ORACLE_SQL = {
     "op1_quality_rules": _quality(),
     "op6_near_duplicates": NEAR_DUPLICATES,
     "op7_line_dedup": LINE_DEDUP,
+    "op11_recompression_dedup": SUBSTRINGS,
+    "op12_conversation_trie": CONVERSATION_TRIE,
+    "op13_ranked_search": RANKED_SEARCH,
 }

@@ -15,8 +15,11 @@ from clickpath.llm.neardup import near_duplicate_groups
 from clickpath.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with QUERIES)
 from clickpath.llm.preference import preference_examples
 from clickpath.llm.quality import judge_quality
+from clickpath.llm.ranking import rank_documents
 from clickpath.llm.reshard import reshard
 from clickpath.llm.secrets import scan_secrets
+from clickpath.llm.substrings import repeated_words
+from clickpath.llm.trie import conversation_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,8 +71,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op11_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_words(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_quality_rules, op2_flow_reshard, op3_budget_mix, op4_template_decontamination, op5_licence_scan,
-              op6_near_duplicates, op7_line_dedup, op8_hmm_scores, op9_preference_pairs, op10_secret_scan)
+              op6_near_duplicates, op7_line_dedup, op8_hmm_scores, op9_preference_pairs, op10_secret_scan,
+              op11_recompression_dedup, op12_conversation_trie, op13_ranked_search)
 }
