@@ -7,6 +7,7 @@
                                      --metrics DIR --checkpoints DIR --registry DIR
     python -m clickpath.jobs release --pending DIR --predictions DIR --metrics DIR --registry DIR
     python -m clickpath.jobs monitor --predictions DIR --metrics DIR --registry DIR
+    python -m clickpath.jobs compact --predictions DIR --before DATE
 
 Paths are on the cluster's shared file system; checkpoints must be too.
 """
@@ -28,20 +29,34 @@ def _spark(app: str) -> SparkSession:
 
 
 def ingest(args) -> dict:
-    """Raw CSV → rejected lines (kept and counted) and keyed JSON messages, to files or a topic."""
-    from .functions.encode import event_json
+    """Raw CSV → rejected lines (kept and counted) and keyed JSON messages, to files or a topic.
+
+    The counts are this run's: both sides are one parsed input, written under
+    the run's own folder.  ``--watch`` follows the folder as a stream instead.
+    """
+    import uuid
+
     from .sources.events import bounded_replay, read_event_csv_checked, split_rejects
+    from .streaming.ingest import csv_line_stream, ingest_counts, keyed_messages, start_ingest
 
     spark = _spark("clickpath-ingest")
+    if args.watch:
+        q = start_ingest(csv_line_stream(spark, args.raw_csv, args.max_files_per_trigger), messages_path=args.out, rejects_path=args.rejects,
+                         checkpoint=args.checkpoint, available_now=args.available_now)
+        q.awaitTermination()
+        out = ingest_counts(spark, args.out, args.rejects).first().asDict()
+        print(json.dumps(out))
+        return out
+    run = uuid.uuid4().hex[:12]
     accepted, rejected = split_rejects(read_event_csv_checked(spark, args.raw_csv))
-    accepted = bounded_replay(accepted, args.max_events)
-    messages = accepted.select(F.col("user_session").alias("key"), event_json(accepted).alias("value"))
+    messages = keyed_messages(bounded_replay(accepted, args.max_events))
     if args.kafka:
         messages.write.format("kafka").option("kafka.bootstrap.servers", args.kafka).option("topic", args.topic).save()
-    else:
-        messages.select("value").write.mode("append").text(args.out)
-    rejected.write.mode("append").parquet(args.rejects)
-    out = {"rejected": spark.read.parquet(args.rejects).count()}
+    else:  # key and value of each message, as on the topic
+        messages.write.mode("append").json(args.out)
+    path = f"{args.rejects.rstrip('/')}/run_id={run}"
+    rejected.write.parquet(path)
+    out = {"rejected": spark.read.parquet(path).count()}
     print(json.dumps(out))
     return out
 
@@ -110,10 +125,13 @@ def release(args) -> int:
 def monitor(args) -> dict:
     from .operators import monitor as MON
     from .operators import registry as REG
+    from .streaming.scoring import rollup_path, running_counters
+    from .streaming.store import read_predictions, roll_up
 
     spark = _spark("clickpath-monitor")
-    pred = spark.read.parquet(args.predictions)
-    counters = MON.running_counters(spark.read.parquet(args.metrics))
+    pred = read_predictions(spark, args.predictions)
+    roll_up(spark, args.metrics, rollup_path(args.metrics))
+    counters = running_counters(spark, args.metrics)
     as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
     log = REG.read_registry(spark, args.registry)
     rows = {
@@ -131,6 +149,19 @@ def monitor(args) -> dict:
     return rows
 
 
+def compact(args) -> list[str]:
+    """Rewrite the predictions of closed days into few files and drop the live copies."""
+    import datetime as dt
+
+    from .streaming.store import compact as compact_days, remove_compacted
+
+    spark = _spark("clickpath-compact")
+    days = compact_days(spark, args.predictions, dt.date.fromisoformat(args.before))
+    remove_compacted(spark, args.predictions)
+    print(json.dumps({"compacted": days}))
+    return days
+
+
 def main(argv=None):
     p = argparse.ArgumentParser(prog="clickpath")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -140,6 +171,10 @@ def main(argv=None):
     g.add_argument("--out")
     g.add_argument("--kafka")
     g.add_argument("--topic")
+    g.add_argument("--watch", action="store_true", help="follow --raw-csv as a stream of files (needs --out and --checkpoint)")
+    g.add_argument("--checkpoint")
+    g.add_argument("--max-files-per-trigger", type=int)
+    g.add_argument("--available-now", action="store_true", help="with --watch: take what is there, then exit")
     g.add_argument("--max-events", type=int, help="the first N events in time order; default: all")
     g.set_defaults(fn=ingest)
     t = sub.add_parser("train")
@@ -159,8 +194,8 @@ def main(argv=None):
     c = sub.add_parser("consume")
     c.add_argument("--source", required=True)
     c.add_argument("--kafka")
-    c.add_argument("--source-format", default="text", choices=["text", "csv"],
-                   help="text: one JSON message per line; csv: raw event CSV files with a header")
+    c.add_argument("--source-format", default="text", choices=["text", "keyed", "csv"],
+                   help="text: one JSON message per line; keyed: key and value per line, as ingest writes; csv: raw event CSV files with a header")
     c.add_argument("--archive", required=True)
     c.add_argument("--predictions", required=True)
     c.add_argument("--metrics", required=True)
@@ -192,6 +227,10 @@ def main(argv=None):
     m.add_argument("--registry", required=True)
     m.add_argument("--as-of", help="end of the trend window as a timestamp; default: now")
     m.set_defaults(fn=monitor)
+    k = sub.add_parser("compact", help="rewrite the predictions of closed days into few files")
+    k.add_argument("--predictions", required=True)
+    k.add_argument("--before", required=True, help="first day that stays as it is (YYYY-MM-DD)")
+    k.set_defaults(fn=compact)
     args = p.parse_args(argv)
     return args.fn(args)
 

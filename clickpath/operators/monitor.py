@@ -28,6 +28,14 @@ def _since(as_of, minutes: int) -> Column:
     return F.col("scored_at") >= _as_of(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
 
 
+def _window(predictions: DataFrame, as_of, minutes: int) -> DataFrame:
+    """The last ``minutes`` before ``as_of``; where the table is laid out by ``scored_date``, from those days' partitions alone."""
+    rows = predictions.filter(_since(as_of, minutes))
+    if "scored_date" in predictions.columns:
+        rows = rows.filter(F.col("scored_date") >= F.to_date(_as_of(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")))
+    return rows
+
+
 def batch_metrics(predictions: DataFrame, batch_col="batch_id") -> DataFrame:
     """Per scoring batch (one column or a list): rows written and predicted purchases."""
     cols = [batch_col] if isinstance(batch_col, str) else list(batch_col)
@@ -91,14 +99,14 @@ def _headline(totals: DataFrame) -> DataFrame:
 
 def avg_probability(predictions: DataFrame, as_of, minutes: int = TREND_MINUTES) -> DataFrame:
     """Mean probability over the last ``minutes`` before ``as_of``; 0.0 if none."""
-    return predictions.filter(_since(as_of, minutes)).agg(
+    return _window(predictions, as_of, minutes).agg(
         F.coalesce(F.avg("purchase_probability"), F.lit(0.0)).alias("avg_probability"))
 
 
 def trend(predictions: DataFrame, as_of, limit_minutes: int = TREND_MINUTES) -> DataFrame:
     """Per-minute volume, purchases and rate for the newest ``limit_minutes`` buckets."""
     buckets = (
-        predictions.filter(_since(as_of, limit_minutes))
+        _window(predictions, as_of, limit_minutes)
         .groupBy(F.date_trunc("minute", "scored_at").alias("minute_ts"))
         .agg(
             F.count(F.lit(1)).alias("total"),
@@ -117,7 +125,20 @@ def trend(predictions: DataFrame, as_of, limit_minutes: int = TREND_MINUTES) ->
 
 
 def recent_predictions(predictions: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
-    """Newest ``n`` rows (ties broken by session and event time)."""
+    """Newest ``n`` rows (ties broken by session and event time).
+
+    Where the table is laid out by ``scored_date``, only the newest days that
+    hold ``n`` rows are read: their number comes from the row counts by day,
+    which the files' footers answer.
+    """
+    if "scored_date" in predictions.columns:
+        per_day = predictions.groupBy("scored_date").count().orderBy(F.col("scored_date").desc())
+        first, seen = None, 0
+        for day, rows in per_day.limit(n).collect():  # at most n days
+            first, seen = day, seen + rows
+            if seen >= n:
+                break
+        predictions = predictions.filter(F.col("scored_date") >= F.lit(first))
     return predictions.orderBy(F.col("scored_at").desc(), F.col("user_session").asc(), F.col("event_time").desc()).limit(n) \
         .select("user_session", "purchase_probability", "predicted_label", "model_version", "scored_at")
 

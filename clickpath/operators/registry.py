@@ -4,6 +4,11 @@ Each training cycle appends one row (``promoted`` says whether it became the
 champion).  The active champion is the newest promoted row (``created_at``
 then ``version`` descending), which is the state the reference reaches by
 flipping ``is_active`` flags, without in-place updates.
+
+Rows are numbered commits beside the registry folder (``PATH-commits``): the
+next number has one winner, so of two cycles that decided against the same
+champion the second is refused (:class:`CommitConflict`) and decides again.
+Parquet rows in the folder itself, from before the commits, are read too.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import REGISTRY_SCHEMA
+from ..sources.commits import CommitConflict, latest_commit, write_commit
 from ..sources.lake import read_lake_if_present
 
 REGISTRY_COLUMNS = [f.name for f in REGISTRY_SCHEMA.fields]
@@ -54,25 +60,51 @@ def registry_history(log: DataFrame) -> DataFrame:
     return log.orderBy("created_at", "version")
 
 
+def commits_path(path: str) -> str:
+    return path.rstrip("/") + "-commits"
+
+
+def registry_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest commit: what a decision was based on."""
+    return latest_commit(spark, commits_path(path))
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    df = read_lake_if_present(spark, path, merge_schema=True)
-    if df is None:
-        return spark.createDataFrame([], REGISTRY_SCHEMA)
-    # rows written before a column existed have null there
-    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                       for f in REGISTRY_SCHEMA.fields])
+    out = spark.createDataFrame([], REGISTRY_SCHEMA)
+    old = read_lake_if_present(spark, path, merge_schema=True)
+    if old is not None:
+        # rows written before a column existed have null there
+        out = out.unionByName(old.select(*[F.col(f.name) if f.name in old.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                           for f in REGISTRY_SCHEMA.fields]))
+    if registry_version(spark, path):
+        out = out.unionByName(spark.read.schema(REGISTRY_SCHEMA).json(commits_path(path)))
+    return out
 
 
 def append_registry(spark: SparkSession, path: str, *, hdfs_path: str, version: str, trained_on: str,
                     metrics: dict, promoted: bool, created_at: dt.datetime | None = None,
-                    gap: str | None = None, distinct: str | None = None, features: list[str] | None = None) -> None:
-    """Append one cycle row (a one-row write; the log is never rewritten)."""
-    row = (
+                    gap: str | None = None, distinct: str | None = None, features: list[str] | None = None,
+                    expected: int | None = None, tries: int = 20) -> int:
+    """Commit one cycle row; returns its number.
+
+    ``expected``: the :func:`registry_version` that the decision was based on;
+    :class:`CommitConflict` if another row came since.  Without it the row
+    takes the next free number.
+    """
+    number = lambda k: float(metrics[k]) if metrics.get(k) is not None else None
+    values = (
         hdfs_path, version, trained_on,
-        *(float(metrics[k]) if metrics.get(k) is not None else None for k in (
-            "auc", "accuracy", "precision", "recall", "precision_purchase", "recall_purchase",
-            "decision_threshold")),
-        bool(promoted), created_at or dt.datetime.now(dt.timezone.utc),
+        *(number(k) for k in ("auc", "accuracy", "precision", "recall", "precision_purchase", "recall_purchase", "decision_threshold")),
+        bool(promoted), (created_at or dt.datetime.now(dt.timezone.utc)).isoformat(),
         gap, distinct, ",".join(features) if features else None,
     )
-    spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    row = dict(zip(REGISTRY_COLUMNS, values))
+    for _ in range(tries):
+        n = registry_version(spark, path) if expected is None else expected
+        try:
+            write_commit(spark, commits_path(path), n + 1, row)
+            return n + 1
+        except CommitConflict:
+            if expected is not None:
+                raise
+    raise CommitConflict(f"{path}: no free number in {tries} tries")

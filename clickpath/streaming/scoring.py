@@ -6,10 +6,11 @@
 * The champion is resolved once per micro-batch from the registry log (polled
   at most every ``poll_seconds``) and pinned for the whole batch; a failed
   load keeps the previous model.
-* Writes are idempotent: predictions and per-batch counters are written to
-  partitions ``run_id=…/batch_id=…`` with dynamic partition overwrite, so a
-  retried batch replaces its own rows instead of adding a second copy.
-  Running counters are the sum over the per-batch table.
+* Writes are idempotent: predictions go to ``scored_date=…/run_id=…/batch_id=…``
+  (the scoring time of a batch is pinned, see :mod:`.store`), per-batch counters
+  and sessions the assembler cannot score to ``run_id=…/batch_id=…``, all with
+  dynamic partition overwrite, so a retried batch replaces its own rows.
+  Running counters are the rolled-up totals and the batches above them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +31,7 @@ from ..operators import registry as REG
 from ..operators.sessions import DEFAULT_GAP, gap_micros, stream_session_features
 from ..plans.training import load_champion, purchase_probability
 from ..schema import FEATURE_COLS
+from . import store as STORE
 
 log = logging.getLogger(__name__)
 
@@ -88,7 +90,7 @@ def _write_partitioned(df: DataFrame, path: str) -> None:
     )
 
 
-def _score(sessions: DataFrame, model: PipelineModel, version: str, *, run_id=None, batch_id=None) -> DataFrame:
+def _score(sessions: DataFrame, model: PipelineModel, version: str, scored_at: Column, *, run_id=None, batch_id=None) -> DataFrame:
     """Prediction rows; ``run_id``/``batch_id`` are literals or, if None, the input's own columns."""
     return purchase_probability(model.transform(sessions)).select(
         "user_session",
@@ -96,17 +98,19 @@ def _score(sessions: DataFrame, model: PipelineModel, version: str, *, run_id=No
         "purchase_probability",
         F.col("prediction").cast("boolean").alias("predicted_label"),
         F.lit(version).alias("model_version"),
-        F.current_timestamp().alias("scored_at"),
+        scored_at.alias("scored_at"),
         (F.col("run_id") if run_id is None else F.lit(run_id)).alias("run_id"),
         (F.col("batch_id") if batch_id is None else F.lit(batch_id)).cast("long").alias("batch_id"),
     )
 
 
-def _write_scored(scored: DataFrame, predictions_path: str, metrics_path: str) -> int:
+def _write_scored(scored: DataFrame, predictions_path: str, metrics_path: str, released: bool = False) -> int:
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _write_partitioned(scored, predictions_path)
+        STORE.write_predictions(scored, predictions_path)
         counts = MON.batch_metrics(scored, ["run_id", "batch_id"])
+        if released:  # counted under a run of their own: the run's later batches may be rolled up already
+            counts = counts.withColumn("run_id", F.concat("run_id", F.lit("-released")))
         _write_partitioned(counts, metrics_path)
         return counts.agg(F.sum("total")).first()[0] or 0
     finally:
@@ -130,16 +134,32 @@ def score_batch(batch: DataFrame, batch_id: int, *, champion: ChampionCache, pre
         n_in = batch.count()  # one pass over the persisted batch
         if n_in == 0:
             return 0
-        written = _write_scored(_score(batch, model, version, run_id=run_id, batch_id=batch_id),
+        at = F.lit(STORE.batch_time(spark, predictions_path, run_id, batch_id)).cast("timestamp")
+        written = _write_scored(_score(batch, model, version, at, run_id=run_id, batch_id=batch_id),
                                 predictions_path, metrics_path)
-        if written < n_in:  # the assembler skips sessions with null/NaN features
+        if written < n_in:  # the assembler skips sessions with null/NaN features: they go to a side table
             log.warning("batch %s: %d of %d sessions had invalid features and were not scored",
                         batch_id, n_in - written, n_in)
+            _write_partitioned(invalid_sessions(batch).withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id)),
+                               unscored_path(predictions_path))
         return written
     finally:
         batch.unpersist()
 
 
+def invalid_sessions(sessions: DataFrame) -> DataFrame:
+    """Sessions with a null or NaN feature, which the assembler skips."""
+    bad = F.lit(False)
+    for f in FEATURE_COLS:
+        bad = bad | F.col(f).isNull() | F.isnan(F.col(f).cast("double"))
+    return sessions.filter(F.coalesce(bad, F.lit(True)))
+
+
+def unscored_path(predictions_path: str) -> str:
+    """Where a scoring stream leaves the sessions it could not score."""
+    return predictions_path.rstrip("/") + "-unscored"
+
+
 def release_pending(spark: SparkSession, *, champion: ChampionCache, pending_path: str, predictions_path: str,
                     metrics_path: str) -> int:
     """Score every held session with the current champion in one pass.
@@ -154,7 +174,12 @@ def release_pending(spark: SparkSession, *, champion: ChampionCache, pending_pat
     held = read_lake_if_present(spark, pending_path)
     if champion.model is None or held is None:
         return 0
-    return _write_scored(_score(held, champion.model, champion.version), predictions_path, metrics_path)
+    written = 0
+    for run, last in held.groupBy("run_id").agg(F.max("batch_id")).collect():  # a row a run
+        mine = held.filter(F.col("run_id") == run)
+        at = STORE.released_at(spark, predictions_path, str(run), last)
+        written += _write_scored(_score(mine, champion.model, champion.version, at), predictions_path, metrics_path, released=True)
+    return written
 
 
 def run_id_for(checkpoint: str) -> str:
@@ -194,6 +219,10 @@ def start_scoring(events: DataFrame, *, champion: ChampionCache, predictions_pat
     return writer.start()
 
 
+def rollup_path(metrics_path: str) -> str:
+    return metrics_path.rstrip("/") + "-rollup"
+
+
 def running_counters(spark: SparkSession, metrics_path: str) -> DataFrame:
-    """(metric_key, metric_value) summed over every scored batch."""
-    return MON.running_counters(spark.read.parquet(metrics_path))
+    """(metric_key, metric_value) over every scored batch, rolled up or not."""
+    return STORE.polled_counters(spark, metrics_path, rollup_path(metrics_path))

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.sanitize import parse_event_time
-from ..schema import WIRE_EVENT_SCHEMA
 from ..sources.events import clean_events, decode_events
 
 MESSAGE_SCHEMA = StructType([StructField("value", StringType(), True)])
+KEYED_SCHEMA = StructType([StructField("key", StringType(), True), StructField("value", StringType(), True)])
 # Fixed value: events pulled per trigger at most.
 MAX_OFFSETS_PER_TRIGGER = 30000
 
@@ -32,7 +31,8 @@ def message_stream(spark: SparkSession, source: str, fmt: str = "text", *,
             .option("maxOffsetsPerTrigger", max_per_trigger)
             .load()
         )
-    reader = spark.readStream.format("text")
+    # keyed: one {"key", "value"} object per line, as the ingest job writes; text: the value alone
+    reader = spark.readStream.schema(KEYED_SCHEMA).format("json") if fmt == "keyed" else spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(source)
@@ -45,12 +45,13 @@ def event_stream(messages: DataFrame) -> DataFrame:
 
 def csv_event_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
                      header: bool = True) -> DataFrame:
-    """Raw event CSV files dropped into a folder, as a clean event stream
-    (same explicit schema and time format as the batch CSV scan)."""
-    from pyspark.sql import functions as F
+    """Raw event CSV files dropped into a folder, as a clean event stream.
 
-    reader = spark.readStream.schema(WIRE_EVENT_SCHEMA).option("header", str(header).lower())
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(source)
-    return clean_events(raw.withColumn("event_time", parse_event_time(F.col("event_time"))))
+    Lines of wrong arity are left out, as in the checked batch scan;
+    :mod:`.ingest` keeps and counts them.
+    """
+    from ..sources.events import split_rejects
+    from .ingest import csv_line_stream
+
+    accepted, _ = split_rejects(csv_line_stream(spark, source, max_files_per_trigger, header))
+    return clean_events(accepted)

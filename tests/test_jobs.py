@@ -69,7 +69,11 @@ def test_ingest_round_trip_and_counted_rejects(spark, scratch):
     out = jobs.main(["ingest", "--raw-csv", raw, "--rejects", os.path.join(scratch, "rej"), "--out", os.path.join(scratch, "msg")])
     accepted, rejected = split_rejects(read_event_csv_checked(spark, raw))
     assert out["rejected"] == len(rejected.collect()) > 0
-    back = decode_events(spark.read.text(os.path.join(scratch, "msg")))
+    messages = spark.read.schema("key string, value string").json(os.path.join(scratch, "msg"))
+    back = decode_events(messages)
+    assert messages.filter("key is distinct from get_json_object(value, '$.user_session')").count() == 0
+    again = jobs.main(["ingest", "--raw-csv", raw, "--rejects", os.path.join(scratch, "rej"), "--out", os.path.join(scratch, "msg3")])
+    assert again == out  # this run's rejects, not those of all runs
     assert sorted(map(repr, clean_events(back).collect())) == sorted(map(repr, clean_events(accepted).collect()))
     jobs.main(["ingest", "--raw-csv", raw, "--rejects", os.path.join(scratch, "rej2"), "--out", os.path.join(scratch, "msg2"),
                "--max-events", "10"])

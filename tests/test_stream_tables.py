@@ -1,0 +1,212 @@
+"""Tables that streams keep: late rows, open and merged sessions, de-duplicated archive, ingest, predictions, counters, registry."""
+
+import datetime as dt
+import os
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickpath.operators import monitor as MON
+from clickpath.operators import registry as REG
+from clickpath.operators import sessions as S
+from clickpath.sources import commits as C
+from clickpath.streaming import ingest as ING
+from clickpath.streaming import store as STORE
+from clickpath.streaming.archive import start_archive
+from clickpath.streaming.ledger import LateRowLedger, read_ledger
+from clickpath.streaming.sources import event_stream, message_stream
+from clickpath.streaming.state import open_sessions
+
+from test_streaming_state import drop_file, msg
+
+UTC = dt.timezone.utc
+
+
+def stream(spark, src):
+    return event_stream(message_stream(spark, src, max_files_per_trigger=1))
+
+
+def run(writer, out, checkpoint):
+    writer.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+
+def test_ledger_counts_late_rows_and_open_sessions_come_from_state(spark, scratch):
+    src, ck = os.path.join(scratch, "src"), os.path.join(scratch, "ck")
+    os.makedirs(src)
+    drop_file(src, 0, [msg(0, "a"), msg(120, "b")])  # the next batch but one drops behind 90 min
+    drop_file(src, 1, [msg(121, "b"), msg(130, "c", "purchase")])
+    drop_file(src, 2, [msg(10, "a"), msg(11, "d"), msg(125, "e"), msg(126, "b", "cart")])  # two are late, two are kept
+    name = "ledger-test"
+    feats = S.stream_session_features(stream(spark, src), with_label=True, distinct="exact")
+    with LateRowLedger(spark, os.path.join(scratch, "ledger"), name, "r1"):
+        run(feats.drop("session").writeStream.queryName(name), os.path.join(scratch, "out"), ck)
+    rows = {r.batch_id: (r.input_rows, r.dropped_rows) for r in read_ledger(spark, os.path.join(scratch, "ledger")).collect()}
+    assert {k: v for k, v in rows.items() if v[0]} == {0: (2, 0), 1: (2, 0), 2: (4, 2)}
+    held = {r.user_session: (r.label, r.view_count, r.cart_count, r.avg_price) for r in open_sessions(spark, ck).collect()}
+    assert held == {"b": (0, 2, 1, 1.0), "c": (1, 0, 0, None), "e": (0, 1, 0, 1.0)}
+    closed = {r.user_session for r in spark.read.parquet(os.path.join(scratch, "out")).collect()}
+    assert closed == {"a"}
+
+
+def test_split_sessions_merge_to_the_batch_sessions(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    files = [[msg(0, "a"), msg(20, "a", "cart"), msg(0, "p", "purchase"), msg(80, "b")], [msg(100, "b")],
+             # the watermark has passed 20+30 of a, but not 45+30: a second piece of one session; p gets its first view
+             [msg(45, "a"), msg(25, "p"), msg(101, "b")], [msg(400, "z")], [msg(401, "z")]]
+    for i, lines in enumerate(files):
+        drop_file(src, i, lines)
+    out = os.path.join(scratch, "out")
+    run(S.stream_session_partials(stream(spark, src)).writeStream, out, os.path.join(scratch, "ck"))
+    pieces = spark.read.parquet(out)
+    assert pieces.filter("user_session = 'a'").count() == 2
+    merged = S.merge_session_partials(pieces)
+    batch = S.session_features(event_stream(spark.read.text(src)).filter("user_session <> 'z'"))
+    columns = sorted(batch.columns)
+    assert sorted(map(repr, merged.select(columns).collect())) == sorted(map(repr, batch.select(columns).collect()))
+
+
+def test_a_replayed_tail_is_archived_once(spark, scratch):
+    src, lake, ck = (os.path.join(scratch, x) for x in ("src", "lake", "ck"))
+    os.makedirs(src)
+    drop_file(src, 0, [msg(m, f"s{m % 3}") for m in range(0, 100, 10)])
+    drop_file(src, 1, [msg(m, f"s{m % 3}") for m in range(50, 120, 10)])
+    drop_file(src, 2, [msg(m, "x") for m in range(500, 510)])
+    drop_file(src, 3, [msg(m, "x") for m in range(500, 512)])
+    q = start_archive(stream(spark, src), lake, ck, available_now=True, dedup_within="60 minutes")
+    q.awaitTermination()
+    got = spark.read.parquet(lake)
+    assert got.count() == got.distinct().count() == 12 + 12
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 12  # keys behind the watermark are gone
+
+
+def test_ingest_counts_a_retried_batch_once(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    good = "2024-01-01 00:00:0{i} UTC,view,1,1,c,b,1.0,7,s{i}"
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("\n".join([good.format(i=1), good.format(i=2), "2024-01-01 00:00:00 UTC,view,1,1,c,1.0,7,s", good.format(i=3) + ",extra"]) + "\n")
+    paths = {"messages_path": os.path.join(scratch, "m"), "rejects_path": os.path.join(scratch, "r")}
+    calls = []
+
+    def crash(batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("stop")
+
+    def attempt():
+        ING.start_ingest(ING.csv_line_stream(spark, src, header=False), checkpoint=os.path.join(scratch, "ck"), available_now=True, after_write=crash,
+                         **paths).awaitTermination()
+
+    with pytest.raises(Exception, match="stop"):
+        attempt()
+    attempt()
+    assert calls == [0, 0]
+    assert ING.ingest_counts(spark, *paths.values()).first().asDict() == {"n_messages": 2, "n_keys": 2, "n_rejected": 2}
+    lines = {r.line for r in spark.read.parquet(paths["rejects_path"]).collect()}
+    assert any("extra" in line for line in lines) and len(lines) == 2
+
+
+# --- predictions -----------------------------------------------------------------------------------------------
+
+def predictions(spark, day, n, batch, run="r"):
+    at = dt.datetime(2024, 1, day, 12, tzinfo=UTC)
+    return spark.createDataFrame([(f"s{day}-{batch}-{i}", at, i / 10, i % 2 == 0, "v1", at + dt.timedelta(seconds=i), run, batch) for i in range(n)],
+                                 "user_session string, event_time timestamp, purchase_probability double, predicted_label boolean, model_version string, "
+                                 "scored_at timestamp, run_id string, batch_id long")
+
+
+def test_batch_times_are_pinned(spark, scratch):
+    path = os.path.join(scratch, "pred")
+    first, later = dt.datetime(2024, 1, 1, 23, 59, 59, tzinfo=UTC), dt.datetime(2024, 1, 2, tzinfo=UTC)
+    assert STORE.batch_time(spark, path, "r", 0, first) == first == STORE.batch_time(spark, path, "r", 0, later)
+    assert STORE.batch_time(spark, path, "r", 1, later) == later == STORE.batch_time(spark, path, "r", 1, first)
+
+
+def test_compaction_keeps_every_row_once_and_reports_read_few_days(spark, scratch):
+    path = os.path.join(scratch, "pred")
+    for day in range(1, 6):
+        for batch in range(2):
+            STORE.write_predictions(predictions(spark, day, 4, day * 10 + batch), path)
+    STORE.write_predictions(predictions(spark, 3, 4, 31), path)  # a retried batch
+    rows = lambda: sorted(map(repr, STORE.read_predictions(spark, path).select("user_session", "scored_at", "run_id", "batch_id", "scored_date").collect()))
+    before = rows()
+    assert len(before) == 40
+    recent = [r.user_session for r in MON.recent_predictions(STORE.read_predictions(spark, path), 6).collect()]
+    assert STORE.compact(spark, path, dt.date(2024, 1, 4)) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert rows() == before  # live and compacted files both there: each row once
+    assert STORE.remove_compacted(spark, path) == 3 and rows() == before
+    assert STORE.compact(spark, path, dt.date(2024, 1, 4)) == []
+    STORE.write_predictions(predictions(spark, 5, 1, 99), path)
+    assert STORE.compact(spark, path, dt.date(2024, 1, 5)) == ["2024-01-04"] and STORE.remove_compacted(spark, path) == 1
+    assert len(rows()) == 41 and len(set(rows())) == 41
+    assert STORE.read_predictions(spark, path, since=dt.date(2024, 1, 3), until=dt.date(2024, 1, 4)).count() == 16
+    as_of = int(dt.datetime(2024, 1, 5, 12, 10, tzinfo=UTC).timestamp() * 1e6)
+    trend = MON.trend(STORE.read_predictions(spark, path), as_of)
+    assert [(r.minute, r.total) for r in trend.collect()] == [("01-05 12:00", 9)]
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(scored_date" in plan
+    live = spark.read.schema(STORE.PREDICTION_COLUMNS).parquet(path)
+    files = MON._window(live, as_of, 30).select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("scored_date=2024-01-05" in r.f for r in files)
+    STORE.write_predictions(predictions(spark, 5, 0, 99), path)
+    assert recent[0] == "s5-50-3"
+
+
+def test_rolled_up_counters_survive_replays(spark, scratch):
+    metrics, rollup = os.path.join(scratch, "metrics"), os.path.join(scratch, "rollup")
+
+    def batch(run, i, total, purchases):
+        df = spark.createDataFrame([(run, i, total, purchases)], "run_id string, batch_id long, total long, purchases long")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(metrics)
+
+    polled = lambda: {r.metric_key: r.metric_value for r in STORE.polled_counters(spark, metrics, rollup).collect()}
+    assert polled() == {"total_predictions": 0, "purchase_predicted": 0}
+    for i in range(4):
+        batch("a", i, 10, 1)
+    batch("7", 0, 5, 5)  # a run id that partition discovery reads as a number
+    assert polled() == {"total_predictions": 45, "purchase_predicted": 9}
+    STORE.roll_up(spark, metrics, rollup, prune=True)
+    assert polled() == {"total_predictions": 45, "purchase_predicted": 9}
+    assert not any("batch_id" in d for _, dirs, _ in os.walk(metrics) for d in dirs)  # a poll lists no counted batch
+    batch("a", 3, 10, 1)  # replayed
+    batch("a", 4, 2, 2)
+    assert polled() == {"total_predictions": 47, "purchase_predicted": 11}
+    STORE.roll_up(spark, metrics, rollup)
+    STORE.roll_up(spark, metrics, rollup)
+    assert polled() == {"total_predictions": 47, "purchase_predicted": 11}
+
+
+# --- commits ---------------------------------------------------------------------------------------------------
+
+def test_of_many_writers_one_takes_a_number(spark, scratch):
+    folder, won, lost = os.path.join(scratch, "log"), [], []
+
+    def write(i):
+        try:
+            C.write_commit(spark, folder, 1, {"writer": i})
+            won.append(i)
+        except C.CommitConflict:
+            lost.append(i)
+
+    threads = [threading.Thread(target=write, args=(i,)) for i in range(8)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert len(won) == 1 and len(lost) == 7 and C.read_commit(spark, folder, 1) == {"writer": won[0]}
+    assert C.latest_commit(spark, folder) == 1 and os.listdir(folder) == [f for f in os.listdir(folder) if not f.endswith(".draft")]
+
+
+def test_concurrent_promotions_lose_no_row(spark, scratch):
+    path = os.path.join(scratch, "registry")
+    row = {"hdfs_path": "m", "trained_on": "x", "metrics": {"auc": 0.5}, "promoted": True}
+    based_on = REG.registry_version(spark, path)
+    REG.append_registry(spark, path, version="one", expected=based_on, created_at=dt.datetime(2024, 1, 1, tzinfo=UTC), **row)
+    with pytest.raises(REG.CommitConflict):
+        REG.append_registry(spark, path, version="two", expected=based_on, **row)
+    assert REG.active_version(REG.read_registry(spark, path)) == "one"
+    again = REG.registry_version(spark, path)  # decides again against the new champion
+    REG.append_registry(spark, path, version="two", expected=again, created_at=dt.datetime(2024, 1, 2, tzinfo=UTC), **(row | {"promoted": False}))
+    REG.append_registry(spark, path, version="three", created_at=dt.datetime(2024, 1, 3, tzinfo=UTC), **row)
+    log = REG.read_registry(spark, path)
+    assert sorted(r.version for r in log.collect()) == ["one", "three", "two"] and REG.active_version(log) == "three"
