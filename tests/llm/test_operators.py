@@ -241,8 +241,50 @@ def test_decontamination_finds_copies_in_any_case_and_short_or_name_heavy_items(
             (7, f"{pad()} {' '.join(ITEM.split()[4:18]).upper()} {pad()}"), (8, pad()), (9, f"{pad()} {street.upper()} {pad()}"),
             (10, f"{pad()} {' '.join(names.split()[::-1])} {pad()}")]
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs_df(spark, rows), bench_df(spark, items)).collect()}
-    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (7, 1), (9, 4)}
-    assert all(r.n_changed == 0 for r in got.values())
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (7, 1), (9, 4)}
+    assert {k: r.n_changed for k, r in got.items() if r.n_changed} == {(6, 3): 1}
+
+
+QUESTIONS = ["What is {a} plus {b} ?", "Solve for x: {a}x + {b} = {c}.", "How many apples does {n} have after eating {a} of {b} ?",
+             "Convert {a} kilometers to meters.", "{n} buys {a} pens at {b} dollars each; how much does {n} pay ?",
+             "A train leaves {m} at {a} km/h and reaches {n} in {b} hours. How far apart are the two cities along the line ?",
+             "The sum of two consecutive numbers is {a}; find the larger of them.", "If {n} is {a} years old and {m} is twice that, how old is {m} ?",
+             "A rectangle has a width of {a} cm and a length of {b} cm. What is its area in square units, and by how much does it exceed {c} ?",
+             "Write {a} as a product of prime factors.", "{n} reads {a} pages a day; after how many days are {b} pages read ?"]
+
+
+def test_reparameterised_items_are_found_and_idioms_are_not(spark):
+    rng = random.Random(23)
+    names = ["Anna", "Boris", "Clara", "Dmitri", "Elena", "Farid", "Greta", "Hassan"]
+
+    def fill(q):
+        n, m = rng.sample(names, 2)
+        return q.format(a=rng.randint(2, 99), b=rng.randint(100, 999), c=rng.randint(1000, 9999), n=n, m=m)
+
+    items = [(i, fill(q)) for i, q in enumerate(QUESTIONS)]
+    rows, want = [], set()
+    for i, q in enumerate(QUESTIONS):
+        for j in range(10):
+            rows.append((100 * i + j, f"{prose(rng, rng.randint(0, 40))} {fill(q)} {prose(rng, rng.randint(0, 40))}"))
+            want.add((100 * i + j, i))
+    rows += [(5000 + i, prose(rng, 60)) for i in range(50)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_df(spark, rows), bench_df(spark, items)).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want)
+    # a slot that stands for two values at once is no copy
+    wrong = [(1, "If Lena is 30 years old and Omar is twice that, how old is Vera ?")]
+    assert decontaminate.contaminated(docs_df(spark, wrong), bench_df(spark, items)).collect() == []
+    # a short template that very many documents hold is an idiom; its literal copies are still copies
+    many = [(i, f"{prose(rng, 5)} What is {i} plus {i + 1} ? {prose(rng, 5)}") for i in range(decontaminate.COMMON_DOCS + 5)] + [(900, "so " + items[0][1])]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_df(spark, many), bench_df(spark, items)).collect()}
+    assert got == {(900, 0)}
+
+
+def test_decontamination_of_odd_rows(spark):
+    long = " ".join(["filler"] * 60_000) + " " + ITEM + " tail" * 50_000
+    rows = [(1, long), (1, long), (2, None), (3, ""), (None, ITEM), (4, "x" * 300_000), (5, ITEM), (5, "other text"), (6, " ".join([ITEM] * 3))]
+    items = [(1, ITEM), (1, ITEM), (2, None), (3, ""), (None, ITEM)]
+    got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs_df(spark, rows), bench_df(spark, items)).collect()]
+    assert sorted(got) == [(1, 1), (5, 1), (6, 1)]
 
 
 def test_decontamination_shuffle_join_gives_the_same(spark, monkeypatch):
