@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -124,11 +126,14 @@ def run_ratio(run: str, ratio: np.ndarray) -> float:
 
 
 def markov_spans(text: str, taken: list[Span], ratio: np.ndarray) -> list[Span]:
-    """Runs of identifier characters that look random and touch no span of the fixed patterns."""
+    """Runs of identifier characters that look random and touch no span of the fixed patterns (``taken``, by start)."""
+    starts = [a for a, _, _ in taken]
+    reach = list(accumulate((b for _, _, b in taken), max))  # how far the spans up to this one go
     out = []
     for m in _RUN.finditer(text):
         s, e = m.span()
-        if any(a < e and s < b for a, _, b in taken):
+        before = bisect_left(starts, e)
+        if before and reach[before - 1] > s:
             continue
         score = run_ratio(m[0], ratio)
         if score >= MIN_RATIO and score >= MIN_RATIO_PER_CHAR * (e - s):
