@@ -7,6 +7,8 @@ that lie inside the range are decided there; the first and the last run of a
 range may go on in its neighbours, so they leave a partial count and their
 rows, and the (at most two) open hashes of each range are settled together.
 The answer is one compressed bitmap per document (1: keep the line), never text.
+A text is named by its doc_id and a hash of it, so different texts under one
+doc_id lose their own lines.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickpath.llm.storage import materialize
 
@@ -30,7 +32,9 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TO_LOWER = str.maketrans(_UPPER, _UPPER.lower())
 
 # kind: 0 a dropped line, 1 a partial count of an open run, 2 a line of an open run
-_DECISION = "kind int, h0 long, h1 long, doc_id long, pos int, docs long"
+_DECISION = "kind int, h0 long, h1 long, doc_id long, text_hash long, pos int, docs long"
+_LINE = "h0 long, h1 long, doc_id long, text_hash long, pos int"
+_TEXT = ["doc_id", "text_hash"]
 
 
 def line_key(line: str) -> str:
@@ -40,31 +44,33 @@ def line_key(line: str) -> str:
 def _line_rows(min_code_points: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h0, h1, ids, at = [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            h0, h1, of, at = [], [], [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
                 for i, line in enumerate(text.split("\n")):
                     if len(line) >= min_code_points and len(key := line_key(line)) >= min_code_points:
                         h = xxhash.xxh3_128_intdigest(key.encode())
                         h0.append(h >> 64)
                         h1.append(h & (2**64 - 1))
-                        ids.append(doc)
+                        of.append(row)
                         at.append(i)
+            rows = pa.array(of, pa.int32())
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.array(h0, np.uint64).view(np.int64)), pa.array(np.array(h1, np.uint64).view(np.int64)),
-                pa.array(ids, pa.int64()), pa.array(at, pa.int32())], ["h0", "h1", "doc_id", "pos"])
+                batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array(at, pa.int32())],
+                ["h0", "h1", "doc_id", "text_hash", "pos"])
 
     return run
 
 
 def _decide(min_documents: int):
-    def rows(kind, h0, h1, doc, pos, docs):
+    def rows(kind, h0, h1, doc, text, pos, docs):
         n = len(h0)
         full = lambda x, t: pa.array(np.broadcast_to(np.asarray(x), n).astype(t))
         return pa.RecordBatch.from_arrays(
-            [full(kind, np.int32), full(h0, np.int64), full(h1, np.int64), full(doc, np.int64), full(pos, np.int32),
-             full(docs, np.int64)], ["kind", "h0", "h1", "doc_id", "pos", "docs"])
+            [full(kind, np.int32), full(h0, np.int64), full(h1, np.int64), full(doc, np.int64), full(text, np.int64),
+             full(pos, np.int32), full(docs, np.int64)], ["kind", "h0", "h1", "doc_id", "text_hash", "pos", "docs"])
 
-    def settle(h0, h1, doc, pos, first_open: bool, last_open: bool):
+    def settle(h0, h1, doc, text, pos, first_open: bool, last_open: bool):
         """Decide whole runs of one sorted piece; open runs are passed on."""
         change = np.ones(len(h0), bool)
         change[1:] = (h0[1:] != h0[:-1]) | (h1[1:] != h1[:-1])
@@ -80,11 +86,11 @@ def _decide(min_documents: int):
         drop = (docs >= min_documents) & ~is_open
         gone = drop[run] & (doc != largest[run])
         if gone.any():
-            yield rows(0, h0[gone], h1[gone], doc[gone], pos[gone], 0)
+            yield rows(0, h0[gone], h1[gone], doc[gone], text[gone], pos[gone], 0)
         if is_open.any():
-            yield rows(1, h0[starts[is_open]], h1[starts[is_open]], largest[is_open], 0, docs[is_open])
+            yield rows(1, h0[starts[is_open]], h1[starts[is_open]], largest[is_open], 0, 0, docs[is_open])
             mine = is_open[run]
-            yield rows(2, h0[mine], h1[mine], doc[mine], pos[mine], 0)
+            yield rows(2, h0[mine], h1[mine], doc[mine], text[mine], pos[mine], 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -92,7 +98,7 @@ def _decide(min_documents: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            piece = [batch.column(c).to_numpy() for c in ("h0", "h1", "doc_id", "pos")]
+            piece = [batch.column(c).to_numpy() for c in ("h0", "h1", "doc_id", "text_hash", "pos")]
             other = np.flatnonzero((piece[0] != piece[0][-1]) | (piece[1] != piece[1][-1]))
             cut = int(other[-1]) + 1 if len(other) else 0
             if not cut and held and (held[0][0][0] != piece[0][0] or held[0][1][0] != piece[1][0]):
@@ -109,14 +115,18 @@ def _decide(min_documents: int):
     return run
 
 
+def text_hash() -> Column:
+    return F.xxhash64("text").alias("text_hash")
+
+
 def dropped_lines(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
                   min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(doc_id, pos): every line that goes, by the position from 0 in its document."""
+    """(doc_id, text_hash, pos): every line that goes, by the position from 0 in its text."""
     spark = docs.sparkSession
     lines = materialize(
-        docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-        .mapInArrow(_line_rows(min_code_points), "h0 long, h1 long, doc_id long, pos int"), "lines")
-    order = ["h0", "h1", "doc_id", "pos"]
+        docs.select("doc_id", "text", text_hash()).where("doc_id is not null and text is not null")
+        .mapInArrow(_line_rows(min_code_points), _LINE), "lines")
+    order = ["h0", "h1", *_TEXT, "pos"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # ranges end between documents of a line, so partial counts of documents add up
     decided = materialize(
@@ -125,9 +135,9 @@ def dropped_lines(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
     # at most two open hashes a range: its size depends on the number of ranges alone
     settled = (decided.where("kind = 1").groupBy("h0", "h1")
                .agg(F.sum("docs").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_documents))
-    late = (decided.where("kind = 2").select("h0", "h1", "doc_id", "pos").join(F.broadcast(settled), ["h0", "h1"])
-            .where("doc_id <> last").select("doc_id", "pos"))
-    return decided.where("kind = 0").select("doc_id", "pos").unionByName(late)
+    late = (decided.where("kind = 2").select("h0", "h1", *_TEXT, "pos").join(F.broadcast(settled), ["h0", "h1"])
+            .where("doc_id <> last").select(*_TEXT, "pos"))
+    return decided.where("kind = 0").select(*_TEXT, "pos").unionByName(late)
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,20 +148,20 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep[at] = False
             out.append(zlib.compress(np.packbits(keep).tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(d) for d in batch.column("drops")], pa.int64()),
-             pa.array(out, pa.binary())], ["doc_id", "n_dropped", "keep_bitmap"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(d) for d in batch.column("drops")], pa.int64()),
+             pa.array(out, pa.binary())], [*_TEXT, "n_dropped", "keep_bitmap"])
 
 
 def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
                  min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(doc_id, n_dropped, keep_bitmap) of the documents that lose a line.
+    """(doc_id, text_hash, n_dropped, keep_bitmap) of the texts that lose a line.
 
     The bitmap holds a bit for each line up to the last dropped one and the end
     of its byte (1: keep; later lines stay), packed by ``numpy.packbits`` and compressed by zlib.
     """
     return (dropped_lines(docs, min_code_points, min_documents).distinct()
-            .groupBy("doc_id").agg(F.collect_list("pos").alias("drops"))
-            .mapInArrow(_bitmaps, "doc_id long, n_dropped long, keep_bitmap binary"))
+            .groupBy(*_TEXT).agg(F.collect_list("pos").alias("drops"))
+            .mapInArrow(_bitmaps, "doc_id long, text_hash long, n_dropped long, keep_bitmap binary"))
 
 
 def kept_text(text: str, bitmap: bytes | None) -> str:
@@ -176,7 +186,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """doc_id, text, n_dropped (0 if untouched) and keep_bitmap (null if untouched) of every document."""
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bitmaps.hint("shuffle_hash"), "doc_id", "left")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash()).join(bitmaps.hint("shuffle_hash"), _TEXT, "left")
             .select("doc_id", "text", F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), "keep_bitmap"))
 
 
@@ -186,7 +196,8 @@ def line_digests(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
 
     A null or empty text is one empty line.  Rows without a doc_id lose
     nothing and count for nothing.  Repeated rows are one document to the
-    count, and each of them loses the same lines.
+    count, and each of them loses the same lines; different texts under one
+    doc_id are one document to the count, and each loses its own lines.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return apply_bitmaps(docs, keep_bitmaps(docs, min_code_points, min_documents)).mapInArrow(
