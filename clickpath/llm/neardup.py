@@ -2,7 +2,8 @@
 
 1. Every text becomes its set of 5-word shingle hashes and a sketch of
    ``COORDINATES`` coordinates (:mod:`clickpath.llm.sketch`).
-2. Texts with equal sets form a class; its smallest doc_id stands for it.
+2. Texts with equal sets form a class; one of them stands for it under the
+   class's own number, so a doc_id may stand for several classes.
 3. ``COORDINATES / ROWS`` band keys put representatives into buckets.  A pair
    at Jaccard 0.85 shares no bucket with probability (1 - 0.85**4)**24 < 2.1e-8.
 4. Buckets are compared in square blocks of at most about ``2 * BLOCK``
@@ -34,7 +35,7 @@ BLOCK = 512
 THRESHOLD_PCT = 85
 MISS = 1e-8
 
-_SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, coords binary"
+_SIGNATURE = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, coords binary"
 _BUCKET_ROW = "key long, band int, cell_i int, cell_j int, side int, rep long"
 
 
@@ -63,15 +64,15 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coords = (bins & np.uint64(0xFFFF)).astype(np.uint16)
             offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(a), pa.array(b), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))),
                 pa.array([row.tobytes() for row in coords], pa.binary())],
-                ["doc_id", "n_shingles", "set_a", "set_b", "bands", "coords"])
+                ["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "coords"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit set digest, band keys and truncated coordinates of every document."""
-    return docs.select("doc_id", "text").mapInArrow(_signatures, _SIGNATURE)
+    """doc_id, text_hash, n_shingles, a 128-bit set digest, band keys and truncated coordinates of every document."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_signatures, _SIGNATURE)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -232,16 +233,22 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, batch.num_rows, 1000):
             part = batch.slice(start, 1000)
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id").cast(pa.int64()),
+                part.column("rep"),
                 pa.array([s.tobytes() for s in text_sets(part.column("text"))], pa.binary())], ["rep", "shingles"])
 
 
-def near_links(docs: DataFrame, sigs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
-    """(a, b): links between class representatives whose components are those of all links."""
-    reps = materialize(
-        sigs.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min(F.struct("doc_id", "bands", "coords")).alias("r"))
-        .select(F.col("r.doc_id").alias("rep"), "r.bands", "r.coords"), "reps")
+_DIGEST = ["set_a", "set_b", "n_shingles"]
+
+
+def set_classes(sigs: DataFrame) -> DataFrame:
+    """rep (a number of its own), smallest doc_id, that text's hash, bands and coords of every class of equal, non-empty sets."""
+    first = F.min(F.struct("doc_id", "text_hash", "bands", "coords")).alias("r")
+    return materialize(sigs.where("n_shingles > 0").groupBy(*_DIGEST).agg(first)
+                       .select(F.monotonically_increasing_id().alias("rep"), *_DIGEST, "r.*"), "reps")
+
+
+def near_links(docs: DataFrame, reps: DataFrame, threshold_pct: int = THRESHOLD_PCT) -> DataFrame:
+    """(a, b): links between class numbers whose components are those of all links."""
     rows = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     cells = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -255,9 +262,9 @@ def near_links(docs: DataFrame, sigs: DataFrame, threshold_pct: int = THRESHOLD_
     promising = materialize(
         cell_rows.join(coords, "rep").repartition(*_CELL).sortWithinPartitions(*_CELL)
         .mapInArrow(_promising(threshold_pct), _BUCKET_ROW), "cells")
-    wanted = promising.select(F.col("rep").alias("doc_id")).distinct()
-    sets = (docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets, "rep long, shingles binary")
-            .dropDuplicates(["rep"]))
+    wanted = reps.select("rep", "doc_id", "text_hash").join(promising.select("rep").distinct(), "rep", "left_semi")
+    sets = (docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(wanted, ["doc_id", "text_hash"])
+            .select("rep", "text").mapInArrow(_full_sets, "rep long, shingles binary").dropDuplicates(["rep"]))
     return (promising.join(coords, "rep").join(sets, "rep").repartition(*_CELL).sortWithinPartitions(*_CELL)
             .mapInArrow(_verified(threshold_pct), "a long, b long"))
 
@@ -293,17 +300,21 @@ def near_duplicate_groups(docs: DataFrame, threshold_pct: int = THRESHOLD_PCT) -
 
     Null and empty texts have no shingles and stand alone; so do rows without a
     doc_id (component_id null, kept true).  Repeated rows share a component and
-    get one row each.  Other columns of ``docs`` are not read.
+    get one row each; different texts under one doc_id are linked each by its
+    own words.  Other columns of ``docs`` are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = materialize(signatures(docs), "signatures")
     named = sigs.where("doc_id is not null")
-    comps = connected_components(near_links(docs.where("doc_id is not null"), named, threshold_pct))
-    digest = ["set_a", "set_b", "n_shingles"]
-    classes = (named.where("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("rep"))
-               .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-               .select(*digest, F.coalesce("component", "rep").alias("found")))
-    return (sigs.select("doc_id", *digest).join(classes, digest, "left")
+    reps = set_classes(named)
+    comps = connected_components(near_links(docs.where("doc_id is not null"), reps, threshold_pct)).withColumnRenamed("node", "rep")
+    of = materialize(reps.select("rep", "doc_id", *_DIGEST).join(comps, "rep", "left")
+                     .withColumn("component", F.coalesce("component", "rep")), "components")
+    smallest = of.groupBy("component").agg(F.min("doc_id").alias("found"), F.count(F.lit(1)).alias("n"))
+    # a class that stands alone has its own smallest doc_id; only the linked ones meet their component
+    linked = of.join(smallest.where("n > 1").drop("n"), "component", "left")
+    classes = linked.select(*_DIGEST, F.coalesce("found", "doc_id").alias("found"))
+    return (sigs.select("doc_id", *_DIGEST).join(classes, _DIGEST, "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
