@@ -367,6 +367,14 @@ def test_near_duplicates_in_split_buckets(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_of_different_texts_under_one_id(spark):
+    rng = random.Random(21)
+    first, second, third = (prose(rng, 120) for _ in range(3))
+    rows = [(1, first), (1, second), (1, third), (5, edited(rng, first, 1)), (7, edited(rng, second, 1)), (0, edited(rng, third, 1)), (9, "alone")]
+    got = collections.Counter((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicate_groups(docs_df(spark, rows)).collect())
+    assert got == collections.Counter([(1, 1, True), (1, 1, True), (1, 0, False), (5, 1, False), (7, 1, False), (0, 0, True), (9, 9, True)])
+
+
 def test_near_duplicates_whose_cut_coordinates_collide_in_an_earlier_band():
     import numpy as np
     import pyarrow as pa
@@ -434,6 +442,15 @@ def test_line_dedup_against_brute_force(spark, partitions):
     assert got == brute_lines(rows)
 
 
+def test_line_dedup_of_different_texts_under_one_id(spark):
+    shared, unique = "A line of forty characters or more that documents share", "A line of forty characters or more that stands alone"
+    rows = [(1, f"{shared}\n{unique}"), (1, f"{unique} too\n{shared}"), (1, f"{shared}\n{unique}")] + [(i, shared) for i in range(2, 7)]
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    got = collections.Counter(tuple(r) for r in linededup.line_digests(docs_df(spark, rows)).collect())
+    assert got == collections.Counter({(1, 2, 1, digest(unique)): 2, (1, 2, 1, digest(unique + " too")): 1, (6, 1, 0, digest(shared)): 1}
+                                      | {(i, 1, 1, digest("")): 1 for i in range(2, 6)})
+
+
 def test_keep_bitmaps_round_trip():
     import numpy as np
     text = "a\nb\nc\nd"
@@ -561,3 +578,15 @@ def test_secret_spans_against_brute_force(spark):
             assert t[s:e] == key
         elif d >= 90:
             assert not extra
+
+
+def test_markov_spans_beside_many_overlapping_spans_against_brute_force():
+    import numpy as np
+    rng = random.Random(16)
+    text = " ".join("x" * rng.choice([5, 20, 33]) for _ in range(300))
+    taken = sorted((s, rng.randrange(3), s + rng.choice([1, 8, 90])) for s in rng.sample(range(len(text)), 40))
+    runs = [m.span() for m in re.finditer("x{20,}", text)]
+    free = [(s, 3, e) for s, e in runs if not any(a < e and s < b for a, _, b in taken)]
+    assert free and len(free) < len(runs)
+    assert secrets.markov_spans(text, taken, np.full((secrets._N, secrets._N), 9.0)) == free
+    assert secrets.markov_spans(text, [], np.full((secrets._N, secrets._N), 9.0)) == [(s, 3, e) for s, e in runs]
