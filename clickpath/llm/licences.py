@@ -1,18 +1,22 @@
 """Licence scan: a trained paragraph classifier over sparse word n-grams (native columns only).
 
 A multinomial logistic regression over one- and two-word features is fitted on
-labelled paragraphs: wordings of each family's notice, wordings of licences
-outside the families (class ``other``), and a bounded sample of corpus
-paragraphs without any word of :data:`NOTICE_WORDS` (class ``none``).
-Every paragraph of every document is scored; its probabilities are calibrated
-by a temperature chosen on held-out wordings, and a licence paragraph whose
-best family is not probable enough, or whose words do not resemble the
-family's template, is reported as ``unknown``.
+labelled paragraphs (:mod:`clickpath.llm.wordings`): names of each family in
+the frames of a notice, its notice text whole, by sentence, cut as pages wrap
+it and with words dropped, names outside the families (class ``other``), and
+for class ``none`` ordinary sentences with words of notices and a bounded
+sample of corpus paragraphs without any of ``NOTICE_WORDS`` that do not read
+like a notice text.
+Every line of every document is scored, so a wrapped notice shows line by
+line.  Probabilities are calibrated by a temperature chosen on held-out rows,
+and the least probability that names a family by how often held-out rows of no
+family reach it.  A licence paragraph below it, or whose words do not resemble
+the family's names or notice, is reported as ``unknown`` if it holds one of
+``NOTICE_WORDS``, else not at all.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
 from functools import partial
 
@@ -22,66 +26,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickpath.llm.columns import let, words
 from clickpath.llm.storage import materialize
+from clickpath.llm.wordings import CLASSES, FAMILIES, NONE, NOTICE_WORDS, OTHER, PUNCTUATION, labelled_wordings, notice_pairs, reference_words
 
 SAMPLE_DOCS = 500
 SAMPLE_ROWS = 2000
 MAX_FEATURES = 4096
-MIN_PROBABILITY = 0.6
-MIN_TEMPLATE_PCT = 50
+PENALTY = 0.0001
+MIN_TEMPLATE_PCT = 60
+MIN_NOTICE_WORDS = 5
+MAX_OPEN_PCT = 2
 SEED = 20240229
-PUNCTUATION = ".,;:!?\"'()[]{}"
-
-# The names under which a family's notice refers to it, and the core wording of its template
-FAMILIES = {
-    "mit": (("mit license", "mit licence", "expat license"),
-            "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    "apache": (("apache license version 2.0", "apache license 2.0", "apache-2.0 license", "asl 2.0"),
-               "you may not use this file except in compliance with the license you may obtain a copy of the license"),
-    "gpl": (("gnu general public license version 3", "gnu general public license version 2", "gnu gpl v3", "gplv3 license",
-             "gnu lesser general public license", "gnu affero general public license"),
-            "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
-            "as published by the free software foundation"),
-    "bsd": (("bsd 3-clause license", "bsd 2-clause license", "bsd license", "new bsd license"),
-            "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
-            "conditions are met"),
-    "mozilla": (("mozilla public license version 2.0", "mozilla public license", "mpl 2.0"),
-                "this source code form is subject to the terms of the mozilla public license"),
-    "creative_commons": (("cc by 4.0", "cc by-nc 4.0", "cc by-sa 4.0", "cc by-nc-sa 4.0", "creative commons attribution 4.0 international license",
-                          "creative commons attribution-sharealike license", "cc0 1.0 universal"),
-                         "to view a copy of this license visit the creative commons website"),
-    "proprietary": (("all rights reserved",), "no part of this publication may be reproduced without the prior permission of the publisher"),
-}
-# Licences outside the families, and the frames of a notice
-OTHER_NAMES = ("eclipse public license", "artistic license 2.0", "zlib license", "boost software license", "isc license", "unlicense",
-               "open database license", "vendor software license", "academic free license", "university research license")
-FRAMES = ("licensed under the {}", "licensed under {}", "released under the {}", "this work is licensed under the {}",
-          "this work is licensed under {}", "distributed under the terms of the {}", "available under the {}", "see the {} for details",
-          "copyright the authors licensed under the {}", "this file is covered by the {}")
-BARE_FRAMES = ("{}", "copyright {}", "copyright the authors {}", "{} worldwide")
-
-# A corpus paragraph with one of these words is not used as an ordinary one
-NOTICE_WORDS = ("license", "licence", "licensed", "licenses", "licences", "copyright", "reserved", "gplv3", "gpl", "cc")
-
-NONE, OTHER = "none", "other"
-CLASSES = (NONE, OTHER, *FAMILIES)
-
-
-def labelled_wordings() -> list[tuple[str, str]]:
-    """(class, paragraph): every frame with every name, and the templates whole and by halves."""
-    rows = []
-    for family, (names, template) in FAMILIES.items():
-        frames = BARE_FRAMES if family == "proprietary" else FRAMES
-        rows += [(family, frame.format(name)) for frame, name in itertools.product(frames, names)]
-        w = template.split()
-        rows += [(family, " ".join(part)) for part in (w, w[:len(w) // 2], w[len(w) // 2:])]
-    rows += [(OTHER, frame.format(name)) for frame, name in itertools.product(FRAMES, OTHER_NAMES)]
-    return rows
-
-
-def reference_words(family: str) -> list[list[str]]:
-    """The texts that a prediction of the family is compared with, as word lists."""
-    names, template = FAMILIES[family]
-    return [t.split() for t in (*names, template)]
 
 
 def plain_words(text: Column) -> Column:
@@ -104,42 +58,45 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Weights by class of the features that have any, intercepts and temperature."""
+    """Weights by class of the features that have any, intercepts, temperature and the least probability of a named family."""
 
-    def __init__(self, features: list[str], weights: list[list[float]], intercepts: list[float], temperature: float):
-        self.features, self.weights, self.intercepts, self.temperature = features, weights, intercepts, temperature
+    def __init__(self, features: list[str], weights: list[list[float]], intercepts: list[float], temperature: float, cut: float):
+        self.features, self.weights, self.intercepts, self.temperature, self.cut = features, weights, intercepts, temperature, cut
 
 
 def training_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(y, features, held): the labelled wordings, and at most ``sample_rows`` ordinary paragraphs of ``sample_docs`` documents."""
+    """(y, features, worded, held): the labelled wordings, and at most ``sample_rows`` ordinary paragraphs of ``sample_docs`` documents."""
     spark = docs.sparkSession
     wordings = spark.createDataFrame(labelled_wordings(), "label string, text string")
-    wordings = wordings.select("label", plain_words(F.col("text")).alias("tokens"))
+    wordings = wordings.select("label", plain_words(F.col("text")).alias("tokens"), F.lit(True).alias("worded"))
     # the documents with the smallest hashes; a bound on the hash first, so that each task sends few rows to the sort
     draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40))
     bound = int(min(1.0, 4 * sample_docs / max(1, docs.count())) * (1 << 40))
     drawn = docs.where("text is not null").where(draw <= bound).orderBy(draw, "doc_id").limit(sample_docs)
+    notices = sorted({pair for *_, text in FAMILIES.values() for pair in notice_pairs(text)})
     ordinary = (paragraphs(drawn).where(~F.arrays_overlap("tokens", F.lit(list(NOTICE_WORDS))))
+                .where(inside(F.col("tokens"), notices) < MIN_TEMPLATE_PCT)
                 .orderBy(F.xxhash64(F.lit(SEED), "tokens"), "doc_id", "paragraph").limit(sample_rows)
-                .select(F.lit(NONE).alias("label"), F.slice("tokens", 1, 60).alias("tokens")))
+                .select(F.lit(NONE).alias("label"), F.slice("tokens", 1, 60).alias("tokens"), F.lit(False).alias("worded")))
     return materialize(wordings.unionByName(ordinary).select(
         (F.array_position(F.lit(list(CLASSES)), F.col("label")) - 1).cast("double").alias("y"),
-        pair_features(F.col("tokens")).alias("features"), (F.pmod(F.xxhash64("tokens"), F.lit(4)) == 0).alias("held")).coalesce(2), "licence-rows")
+        pair_features(F.col("tokens")).alias("features"), "worded", (F.pmod(F.xxhash64("tokens"), F.lit(4)) == 0).alias("held")).coalesce(2), "licence-rows")
 
 
 def fit(docs: DataFrame) -> Model:
-    """L1 logistic regression on three quarters of the labelled rows, temperature on the rest."""
+    """L1 logistic regression on three quarters of the labelled rows, temperature and cut on the rest."""
     rows = training_rows(docs)
-    vocabulary = CountVectorizer(inputCol="features", outputCol="x", vocabSize=MAX_FEATURES, binary=True).fit(rows.where("y > 0"))
+    vocabulary = CountVectorizer(inputCol="features", outputCol="x", vocabSize=MAX_FEATURES, binary=True).fit(rows.where("worded"))
     data = vocabulary.transform(rows)
-    trained = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", regParam=0.001, elasticNetParam=1.0,
-                                 standardization=False, maxIter=50).fit(data.where("not held"))
+    trained = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", regParam=PENALTY, elasticNetParam=1.0,
+                                 standardization=False, maxIter=100).fit(data.where("not held"))
     matrix, bias = trained.coefficientMatrix.toArray(), trained.interceptVector.toArray()
     used = [i for i in range(matrix.shape[1]) if abs(matrix[:, i]).max() > 0]
     # at most SAMPLE_ROWS rows and the wordings
     held = [(int(r.y), (bias + sum((matrix[:, i] for i in r.x.indices), 0 * bias)).tolist())
             for r in data.where("held").select("y", "x").collect()]
-    return Model([vocabulary.vocabulary[i] for i in used], matrix[:, used].tolist(), bias.tolist(), calibrate(held))
+    temperature = calibrate(held)
+    return Model([vocabulary.vocabulary[i] for i in used], matrix[:, used].tolist(), bias.tolist(), temperature, open_set_cut(held, temperature))
 
 
 def calibrate(held: list[tuple[int, list[float]]]) -> float:
@@ -154,14 +111,38 @@ def calibrate(held: list[tuple[int, list[float]]]) -> float:
     return min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
 
 
+def open_set_cut(held: list[tuple[int, list[float]]], temperature: float) -> float:
+    """The least of a grid of probabilities that at most ``MAX_OPEN_PCT`` percent of the held-out rows of no family reach in one."""
+    first = CLASSES.index(OTHER) + 1
+    reached = []
+    for y, logits in held:
+        if y < first:
+            top = max(logits)
+            reached.append(max(math.exp((v - top) / temperature) for v in logits[first:])
+                           / sum(math.exp((v - top) / temperature) for v in logits))
+    grid = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9)
+    return next((p for p in grid if 100 * sum(r >= p for r in reached) <= MAX_OPEN_PCT * len(reached)), grid[-1])
+
+
+def inside(tokens: Column, pairs: list[str]) -> Column:
+    """Percent of the paragraph's neighbouring word pairs that are among ``pairs`` (0 for short paragraphs)."""
+    mine = F.array_distinct(F.transform(F.slice(tokens, 2, F.size(tokens)), lambda w, i: F.concat(F.get(tokens, i), F.lit(" "), w)))
+    return F.when(F.size(tokens) >= MIN_NOTICE_WORDS, 100.0 * F.size(F.array_intersect(mine, F.lit(pairs))) / F.size(mine)).otherwise(0.0)
+
+
 def template_share(tokens: Column, family: Column) -> Column:
-    """Percent of the words of the family's best fitting name or template that the paragraph holds."""
+    """How well the paragraph fits the family's texts, in percent.
+
+    The larger of the share of a name's or the notice's words that the
+    paragraph holds and, from ``MIN_NOTICE_WORDS`` words on, the share of the
+    paragraph's neighbouring word pairs that stand in the notice.
+    """
     def share(text: list[str]) -> Column:
         return 100.0 * F.size(F.array_intersect(tokens, F.lit(text))) / len(set(text))
 
     out = F.lit(0.0)
     for name in FAMILIES:
-        best = F.array_max(F.array(*[share(text) for text in reference_words(name)]))
+        best = F.array_max(F.array(*[share(text) for text in reference_words(name)], inside(tokens, notice_pairs(FAMILIES[name][-1]))))
         out = F.when(family == name, best).otherwise(out)
     return out
 
@@ -170,8 +151,8 @@ def find_licences(docs: DataFrame) -> DataFrame:
     """One row per licence paragraph: doc_id, paragraph, family, predicted, probability, template_pct.
 
     ``family`` is the predicted one where it is probable enough and the
-    template confirms it, else ``unknown``.  Paragraphs are lines, numbered
-    from 0.  Null and empty texts hold none, rows without an id keep a null
+    template confirms it, else ``unknown`` (with a notice word only).
+    Paragraphs are lines, numbered from 0, of any length.  Null and empty texts hold none, rows without an id keep a null
     one, repeated rows are reported each, and an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -181,8 +162,10 @@ def find_licences(docs: DataFrame) -> DataFrame:
                        for w, b in zip(model.weights, model.intercepts)])
     rows = rows.select("doc_id", "paragraph", "tokens", let(logits, verdict).alias("v")).where(F.col("v.predicted") != NONE)
     rows = materialize(rows.select("doc_id", "paragraph", "tokens", "v.*"), "licence-hits")
-    rows = rows.withColumn("template_pct", template_share(F.col("tokens"), F.col("predicted")))
-    sure = ((F.col("predicted") != OTHER) & (F.col("probability") >= MIN_PROBABILITY) & (F.col("template_pct") >= MIN_TEMPLATE_PCT))
+    spelt = F.transform("tokens", lambda w: F.replace(w, F.lit("licence"), F.lit("license")))
+    rows = rows.withColumn("template_pct", template_share(spelt, F.col("predicted")))
+    sure = ((F.col("predicted") != OTHER) & (F.col("probability") >= model.cut) & (F.col("template_pct") >= MIN_TEMPLATE_PCT))
+    rows = rows.where(sure | F.arrays_overlap("tokens", F.lit(list(NOTICE_WORDS))))
     return rows.select("doc_id", F.col("paragraph").cast("int").alias("paragraph"), F.when(sure, F.col("predicted")).otherwise("unknown").alias("family"),
                        "predicted", "probability", F.round("template_pct", 6).alias("template_pct"))
 

@@ -312,6 +312,67 @@ def test_licence_families_unknown_and_ordinary(spark):
     assert not [d for d in got if d is not None and d >= 100]
 
 
+MIT_80_COLUMNS = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+
+
+def test_licence_notices_as_they_stand_in_files(spark):
+    """Plain names, identifiers, wrapped and unwrapped notices; ordinary sentences with their words; very long, repeated and tied rows."""
+    rng = random.Random(17)
+    vocabulary = ["the", "of", "and", "to", "a", "in", "is", "by", "for", "this", "work", "under", "file", "software"] + [f"w{i}" for i in range(100)]
+    wanted = {"MIT License": "mit", "SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: GPL-2.0-only": "gpl",
+              "SPDX-License-Identifier: Apache-2.0": "apache", "The MIT License (MIT)": "mit", MIT_80_COLUMNS.replace("\n", " "): "mit",
+              "Redistribution and use in source and binary forms, with or without modification, are permitted": "bsd",
+              "Redistribution and use in source and binary forms, with or without": "bsd", "BSD 3-Clause License": "bsd",
+              "Copyright 2019 Example Corp. All rights reserved.": "proprietary", "Eclipse Public License v2.0": "unknown",
+              "you may not use this file except in compliance with the License.": "apache", "Apache License, Version 2.0": "apache",
+              "it under the terms of the GNU General Public License as published by": "gpl", "Mozilla Public License 2.0": "mozilla",
+              "License, v. 2.0. If a copy of the MPL was not distributed with this": "mozilla", "CC BY-SA 4.0": "creative_commons",
+              "SPDX-License-Identifier: EPL-2.0": "unknown", "Licensed under the Quux Community License": "unknown"}
+    ordinary = ["A taxi driver showed a license to the officer.", "The apache helicopter landed in the field.", "MIT students won the prize.",
+                "The seats were reserved for the guests of the court.", "Copyright law was changed by the parliament last year.",
+                "The general public may visit the garden free of charge.", "This software is used in many schools."]
+    lines = list(wanted)
+    rows = [(i, f"{prose(rng, 40, vocabulary)}\n{line}\n{prose(rng, 40, vocabulary)}") for i, line in enumerate(lines)]
+    rows += [(50, MIT_80_COLUMNS), (50, MIT_80_COLUMNS), (60, "\n".join([prose(rng, 30, vocabulary)] * 4000 + ["MIT License"]))]
+    rows += [(100 + i, line) for i, line in enumerate(ordinary)] + [(200 + i, "\n".join(prose(rng, 30, vocabulary) for _ in range(5))) for i in range(60)]
+    got = collections.defaultdict(list)
+    for r in licences.find_licences(docs_df(spark, rows)).collect():
+        got[r.doc_id].append((r.paragraph, r.family))
+    found = {line: got.get(i) for i, line in enumerate(lines)}
+    assert found == {line: [(1, family)] for line, family in wanted.items()}
+    wrapped = collections.Counter(got[50])
+    assert set(wrapped.values()) == {2} and {p for p, f in wrapped if f == "mit"} >= {0, 1, 2, 3, 4} and {f for _, f in wrapped} <= {"mit", "unknown"}
+    assert got[60] == [(4000, "mit")]
+    assert not [d for d in got if d >= 100]
+
+
+def test_licence_recall_and_false_alarms_by_family(spark):
+    """Pieces of every notice at other widths, in other case: nine in ten lines name their family; ordinary lines none."""
+    from clickpath.llm.wordings import FAMILIES
+    rng = random.Random(18)
+    rows, family_of = [], {}
+    for family, (names, _, text) in FAMILIES.items():
+        w = text.split()
+        pieces = [" ".join(w[i:i + 11]) for i in range(0, max(1, len(w) - 10), 11)] + [f"This code is available under the {n}" for n in names]
+        if family == "proprietary":
+            pieces = pieces[:3] + [f"Copyright {y} Sample Press. All rights reserved." for y in (1999, 2011, 2024)]
+        for piece in pieces:
+            family_of[len(rows)] = family
+            rows.append((len(rows), rng.choice([piece, piece.upper()])))
+    vocabulary = ["the", "of", "and", "to", "a", "in", "is", "by", "for", "this", "may", "be", "with", "or"] + [f"w{i}" for i in range(100)]
+    rows += [(1000 + i, prose(rng, 25, vocabulary)) for i in range(300)]
+    got = {r.doc_id: r.family for r in licences.find_licences(docs_df(spark, rows)).collect()}
+    for family in FAMILIES:
+        mine = [d for d, f in family_of.items() if f == family]
+        assert sum(got.get(d) == family for d in mine) >= 0.9 * len(mine), (family, [rows[d][1] for d in mine if got.get(d) != family])
+    assert not [d for d in got if d >= 1000]
+
+
 def test_licences_of_an_empty_table(spark):
     assert licences.find_licences(docs_df(spark, [])).collect() == []
 
