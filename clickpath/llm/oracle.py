@@ -71,6 +71,11 @@ def _quality() -> str:
     SELECT lang, bin, floor(v * 1000000 / sum(v) OVER (PARTITION BY doc_id)) AS m
     FROM {hist} JOIN base USING (doc_id) WHERE NOT base_failed) JOIN judged USING (lang) GROUP BY lang, bin"""
 
+    at = lambda kind: f"floor({kind}_distance * {q.STEPS})"
+    scores = " UNION ALL ".join(f"SELECT lang, '{kind}' AS kind, {at(kind)} AS step FROM far WHERE NOT base_failed" for kind in q.LIMITS)
+    limits = ", ".join(f"max(CASE WHEN kind = '{kind}' THEN greatest(median + {times} * (quartile - median), {least}) END) AS {kind}_limit"
+                       for kind, (times, least, _) in q.LIMITS.items())
+    fits = " AND ".join(f"coalesce({at(kind)} <= coalesce({kind}_limit, {otherwise}), TRUE)" for kind, (*_, otherwise) in q.LIMITS.items())
     return rf"""
 WITH docs AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
 listed AS (SELECT doc_id, lang, regexp_extract_all(text, '{_WORD}') AS ws FROM docs),
@@ -105,15 +110,25 @@ word_hist AS (
 class_ref AS ({reference('(SELECT doc_id, lang, bin, v FROM class_hist)').replace('JOIN base USING (doc_id)', 'JOIN (SELECT doc_id, base_failed FROM base) USING (doc_id)')}),
 word_ref AS ({reference('(SELECT doc_id, lang, bin, v FROM word_hist)').replace('JOIN base USING (doc_id)', 'JOIN (SELECT doc_id, base_failed FROM base) USING (doc_id)')}),
 class_far AS ({distance('class_hist', 'class_ref')}),
-word_far AS ({distance('word_hist', 'word_ref')}),
+share_hist AS (SELECT doc_id, lang, (bin = {other})::INT AS bin, sum(v) AS v FROM word_hist GROUP BY ALL),
+share_ref AS (SELECT lang, (bin = {other})::INT AS bin, sum(ref_v) AS ref_v FROM word_ref GROUP BY ALL),
+share_far AS ({distance('share_hist', 'share_ref')}),
+listed_far AS ({distance(f'(SELECT * FROM word_hist WHERE bin < {other})', f'(SELECT * FROM word_ref WHERE bin < {other})')}),
+n_common AS (SELECT doc_id, sum(v) AS n FROM word_hist WHERE bin < {other} GROUP BY doc_id),
 far AS (
   SELECT base.*, CASE WHEN chars >= {q.MIN_JUDGED_CHARS} THEN cf.dist END AS char_distance,
-         CASE WHEN n_words >= {q.MIN_JUDGED_WORDS} THEN wf.dist END AS word_distance
-  FROM base LEFT JOIN class_far cf USING (doc_id) LEFT JOIN word_far wf USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(char_distance <= {q.MAX_CHAR_DISTANCE}, TRUE) AND coalesce(word_distance <= {q.MAX_WORD_DISTANCE}, TRUE) AS kept,
-       char_distance, word_distance
-FROM far
+         CASE WHEN n_words >= {q.MIN_JUDGED_WORDS} THEN sf.dist END AS share_distance,
+         CASE WHEN n_words >= {q.MIN_JUDGED_WORDS} AND nc.n >= {q.MIN_JUDGED_COMMON} THEN lf.dist END AS word_distance
+  FROM base LEFT JOIN class_far cf USING (doc_id) LEFT JOIN share_far sf USING (doc_id) LEFT JOIN listed_far lf USING (doc_id)
+    LEFT JOIN n_common nc USING (doc_id)),
+scores AS ({scores}),
+middle AS (
+  SELECT lang, kind, quantile_disc(step, 0.5) AS median, quantile_disc(step, 0.75) AS quartile
+  FROM scores WHERE step IS NOT NULL GROUP BY lang, kind HAVING count(*) >= {q.MIN_LIMIT_DOCS}),
+limits AS (SELECT lang, {limits} FROM middle GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {fits} AS kept,
+       char_distance, share_distance, word_distance
+FROM far LEFT JOIN limits ON far.lang IS NOT DISTINCT FROM limits.lang
 """
 
 

@@ -1,17 +1,19 @@
 """Quality rules: distribution divergence from language references (native columns only).
 
-Each document is a histogram over character classes and one over the common
-words of its language.  References are the same histograms summed over all
-documents of the language that pass the base rules.  A document stays if both
-Jensen-Shannon distances (base 2, so 0 .. 1) are small enough; histograms of
-short documents or thin references are not judged.
+Each document is a histogram over character classes, one over the common words
+of its language, and the share of these among all its words.  References are
+the same histograms summed over all documents of the language that pass the
+base rules.  A document stays if all three Jensen-Shannon distances (base 2, so
+0 .. 1) are within the limits of its language: the median distance of its
+documents plus a multiple of the step from there to the upper quartile.
+Histograms of short documents or thin references are not judged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickpath.llm.columns import NOT_SPACE, let, window_hashes, words
 from clickpath.llm.storage import materialize
@@ -23,8 +25,12 @@ WINDOW = 5
 MIN_JUDGED_CHARS = 300
 MIN_JUDGED_WORDS = 50
 MIN_REFERENCE_WORDS = 2_000
-MAX_CHAR_DISTANCE = 0.28
-MAX_WORD_DISTANCE = 0.45
+MIN_JUDGED_COMMON = 30
+# Distances are compared in whole steps of 1 / STEPS, so that quantiles come from bounded counts.
+STEPS = 10_000
+MIN_LIMIT_DOCS = 100
+# Of each distance: the multiple of the spread, the least limit, and the limit where a language has too few documents.
+LIMITS = {"char": (60, 1500, 2800), "share": (8, 1000, 2500), "word": (8, 5000, 8000)}
 
 # The characters of each class.  Two classes follow: UTF-8 bytes beyond one a character, which stand
 # for letters outside ASCII, and the rest (lower-case a-z and other ASCII).
@@ -145,9 +151,42 @@ def references(rows: DataFrame) -> DataFrame:
             .where(F.col("n") >= MIN_REFERENCE_WORDS).select(F.col("lang").alias("ref_lang"), "ref_classes", "ref_common"))
 
 
+def limits(far: DataFrame) -> DataFrame:
+    """(limit_lang, char_limit, share_limit, word_limit) in steps, of the documents that pass the base rules (null: too few).
+
+    Documents are counted by language, distance and step first, so a window
+    orders at most ``STEPS`` + 1 rows however many documents a language has.
+    """
+    scores = F.array(*[F.struct(F.lit(kind).alias("kind"), steps(F.col(f"{kind}_distance")).alias("at")) for kind in LIMITS])
+    counts = far.where("not base_failed").select("lang", F.inline(scores)).where("at is not null").groupBy("lang", "kind", "at").agg(F.count("*").alias("n"))
+    group = Window.partitionBy("lang", "kind")
+    below = group.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.select("lang", "kind", "at", F.sum("n").over(below).alias("upto"), F.sum("n").over(group).alias("n"))
+    middle = ranked.where(F.col("n") >= MIN_LIMIT_DOCS).groupBy("lang", "kind").agg(
+        F.min(F.when(2 * F.col("upto") >= F.col("n"), F.col("at"))).alias("median"),
+        F.min(F.when(4 * F.col("upto") >= 3 * F.col("n"), F.col("at"))).alias("quartile"))
+
+    def of(kind: str) -> Column:
+        times, least, _ = LIMITS[kind]
+        limit = F.greatest(F.col("median") + times * (F.col("quartile") - F.col("median")), F.lit(least))
+        return F.max(F.when(F.col("kind") == kind, limit)).alias(f"{kind}_limit")
+
+    return middle.groupBy(F.col("lang").alias("limit_lang")).agg(*map(of, LIMITS))
+
+
+def steps(distance: Column) -> Column:
+    return F.floor(distance * STEPS)
+
+
+def join_language(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the row of their language, broadcast where the languages are few (counted)."""
+    table = F.broadcast(table) if table.count() <= 10_000 else table
+    return rows.join(table, rows["lang"].eqNullSafe(table[key]), "left")
+
+
 def judge_quality(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    kept, char_distance, word_distance, and the columns to carry.
+    kept, char_distance, share_distance, word_distance, and the columns to carry.
 
     A null or empty text has no words and fails the base rules.  A null or
     unknown language is its own reference for characters and is not judged by
@@ -155,15 +194,21 @@ def judge_quality(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     rows are judged like any other; an empty table gives no rows.
     """
     rows = features(docs, carry)
-    refs = references(rows)
     as_double = lambda c: F.transform(c, lambda v: v.cast("double"))
-    far = (rows.join(F.broadcast(refs), rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
-           if refs.count() <= 10_000 else rows.join(refs, rows["lang"].eqNullSafe(refs["ref_lang"]), "left"))
-    far = far.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.when(F.col("chars") >= MIN_JUDGED_CHARS, js_distance(as_double(F.col("classes")), F.col("ref_classes"))).alias("char_distance"),
-        F.when(F.col("n_words") >= MIN_JUDGED_WORDS, js_distance(as_double(F.col("common")), F.col("ref_common"))).alias("word_distance"), *carry)
-    fits = (F.coalesce(F.col("char_distance") <= MAX_CHAR_DISTANCE, F.lit(True))
-            & F.coalesce(F.col("word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
-    return far.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      (~F.col("base_failed") & fits).alias("kept"), "char_distance", "word_distance", *carry)
+    bins = len(next(iter(COMMON_WORDS.values())))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
+    listed = lambda c: F.slice(c, 1, bins)
+    share = lambda c: let(listed(c), lambda x: F.array(total(x), F.get(c, F.lit(bins))))
+    far = join_language(rows, references(rows), "ref_lang")
+    mine, ref = as_double(F.col("common")), F.col("ref_common")
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    far = materialize(far.select(
+        *base, "lang", F.when(F.col("chars") >= MIN_JUDGED_CHARS, js_distance(as_double(F.col("classes")), F.col("ref_classes"))).alias("char_distance"),
+        F.when(F.col("n_words") >= MIN_JUDGED_WORDS, js_distance(share(mine), share(ref))).alias("share_distance"),
+        F.when((F.col("n_words") >= MIN_JUDGED_WORDS) & (total(listed(mine)) >= MIN_JUDGED_COMMON), js_distance(listed(mine), listed(ref))).alias("word_distance"),
+        *carry), "quality-distances")
+    far = join_language(far, limits(far), "limit_lang")
+    kept = ~F.col("base_failed")
+    for kind, (_, _, otherwise) in LIMITS.items():
+        kept &= F.coalesce(steps(F.col(f"{kind}_distance")) <= F.coalesce(F.col(f"{kind}_limit"), F.lit(otherwise)), F.lit(True))
+    return far.select(*base, kept.alias("kept"), *[f"{kind}_distance" for kind in LIMITS], *carry)

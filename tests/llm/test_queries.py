@@ -102,22 +102,57 @@ def brute_quality(docs):
                 ref = refs.setdefault((lang, k), [0] * len(hist[d][k]))
                 for i, v in enumerate(hist[d][k]):
                     ref[i] += math.floor(v * 1_000_000 / total)
-    kept = {}
-    for d, t, lang, _ in docs:
-        ok = not base[d][5]
-        if ok and words[lang] >= quality.MIN_REFERENCE_WORDS:
-            if len(t) >= quality.MIN_JUDGED_CHARS:
-                ok &= js(hist[d][0], refs[lang, 0]) <= quality.MAX_CHAR_DISTANCE
-            if base[d][0] >= quality.MIN_JUDGED_WORDS:
-                ok &= js(hist[d][1], refs[lang, 1]) <= quality.MAX_WORD_DISTANCE
-        kept[d] = ok
-    return kept
+    def distances(d, t, lang):
+        n, common, ref = base[d][0], hist[d][1], refs.get((lang, 1))
+        if words[lang] < quality.MIN_REFERENCE_WORDS:
+            return {}
+        out = {"char": js(hist[d][0], refs[lang, 0])} if len(t) >= quality.MIN_JUDGED_CHARS else {}
+        if n >= quality.MIN_JUDGED_WORDS:
+            out["share"] = js([sum(common[:-1]), common[-1]], [sum(ref[:-1]), ref[-1]])
+            if sum(common[:-1]) >= quality.MIN_JUDGED_COMMON:
+                out["word"] = js(common[:-1], ref[:-1])
+        return {kind: math.floor(round(v, 8) * quality.STEPS) for kind, v in out.items()}
+
+    far = {d: distances(d, t, lang) for d, t, lang, _ in docs}
+    limits = {}
+    for lang in words:
+        for kind, (times, least, otherwise) in quality.LIMITS.items():
+            x = sorted(far[d][kind] for d, _, lang_, _ in docs if lang_ == lang and not base[d][5] and kind in far[d])
+            enough = len(x) >= quality.MIN_LIMIT_DOCS
+            middle, quartile = (x[-(-len(x) // 2) - 1], x[-(-3 * len(x) // 4) - 1]) if enough else (0, 0)
+            limits[lang, kind] = max(middle + times * (quartile - middle), least) if enough else otherwise
+    return {d: not base[d][5] and all(v <= limits[lang, kind] for kind, v in far[d].items()) for d, _, lang, _ in docs}
 
 
 def plain(text):
     return " " + " ".join(re.sub(r"[^\w\s]", "", text).lower().split()) + " "
 
 
+def test_quality_limits_of_each_language_against_brute_force(spark, monkeypatch):
+    """Limits from at least 100 documents a language; each of the three distances rejects a document of its own."""
+    rng = random.Random(17)
+    fill = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    docs = []
+    for k, lang in enumerate(("en", "de")):
+        vocabulary = list(quality.COMMON_WORDS[lang]) * 12 + fill
+        docs += [(1000 * k + i, prose(rng, rng.randint(200, 400), vocabulary), lang, "s") for i in range(120)]
+    docs.append((901, prose(rng, 200, fill), "en", "s"))
+    docs.append((902, " ".join("the" if i % 3 == 0 else fill[i * 7 % 300] for i in range(300)), "en", "s"))
+    docs.append((903, prose(rng, 200, [*quality.COMMON_WORDS["en"] * 12, *[f"{w}$$%%##&&" for w in fill]]), "en", "s"))
+    docs += [(2000 + i, prose(rng, 200, fill), "fr", "s") for i in range(20)]
+    df = docs_df(spark, [(d, t, source, lang) for d, t, lang, source in docs])
+    got = {r.doc_id: r for r in quality.judge_quality(df).collect()}
+    want = brute_quality(docs)
+    assert {d: r.kept for d, r in got.items()} == want
+    assert [d for d in want if not want[d]] == [901, 902, 903]
+    assert got[901].word_distance is None and got[902].word_distance > 0.5 and got[903].char_distance > 0.2
+    # one limit a distance, each wide open but one
+    for d, kind in ((901, "share"), (902, "word"), (903, "char")):
+        monkeypatch.setattr(quality, "LIMITS", {k: v if k == kind else (v[0], quality.STEPS, quality.STEPS) for k, v in quality.LIMITS.items()})
+        assert not {r.doc_id: r.kept for r in quality.judge_quality(df).collect()}[d], kind
+        monkeypatch.undo()
+
+
 def test_pipeline_against_brute_force(spark):
     source = spark.read.parquet(f"{HERE}/documents.parquet")
     docs = [(r.doc_id, r.text, r.lang, r.source) for r in source.collect()]
