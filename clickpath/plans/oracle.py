@@ -7,6 +7,8 @@ since the key's previous event exceeds the gap.
 
 from __future__ import annotations
 
+from ..schema import FEATURE_COLS
+
 K = "cast(json_extract(props, '$.k') as bigint)"
 
 EV = f"""ev as (
@@ -399,4 +401,13 @@ def oracle_sql() -> dict[str, str]:
             round(count(*) filter (where split = 'train' and label = 0)
                   / nullif(count(*) filter (where split = 'train' and label = 1), 0), 6) as weight_ratio,
             true as metrics_valid from labelled""")
+    slopes = ", ".join(f"('{c}')" for c in [*FEATURE_COLS, "intercept"])
+    q["lr_optimum"] = f"select feature, true as at_optimum from (values {slopes}) t(feature)"
+    q["installed_threshold"] = _sql(SCORED, """select model_type, count(*) filter (where split = 'test') as n_scored, 0::bigint as n_faults
+        from labelled, (values ('logistic_regression'), ('random_forest')) m(model_type) group by model_type""")
+    q["retrain_cycle"] = _sql(f"{EV},\n{sessions_cte('12 hour')}", """select version, version = 'v1' as promoted, version = 'v1' as is_active,
+        count(*) as n_sessions, sum(label)::bigint as n_purchased from sfeat, (values ('v1'), ('v2')) m(version) group by version""")
+    q["lake_presence"] = _sql(EV, """select folder, folder <> 'missing' as present, folder = 'finished' as complete,
+        case when folder like '%finished' then n end as n_events
+        from (values ('missing'), ('empty'), ('unfinished'), ('finished')) f(folder), (select count(*) as n from ev)""")
     return q

@@ -46,6 +46,8 @@ INTAKE_SHARE = 0.5
 STREAM_SPLIT = 0.5
 REPLAY_FROM = 0.75
 SCORE_PCT_THRESHOLD = 50
+# Loss slope, per standard deviation of a feature, below which a fit counts as an optimum.
+MAX_SLOPE = 0.01
 
 
 # --------------------------------------------------------------------------
@@ -566,6 +568,57 @@ def q_score_sessions(spark, sf):
     return finish(_scored_keys(TR.score(model, s, "lr")))
 
 
+def q_lr_optimum(spark, sf):
+    """Whether the fitted logistic model stands at the optimum of its weighted loss, slope by slope."""
+    from . import training as TR
+    model, _, (train, _, _) = TR.fit_and_tune(stage(sessions(spark, sf, LONG_GAP), "training-sessions"), "logistic_regression")
+    return TR.fit_gradient(model, train).select("feature", F.coalesce(F.abs("gradient") < MAX_SLOPE, F.lit(True)).alias("at_optimum"))
+
+
+def q_installed_threshold(spark, sf):
+    """The tuned threshold as installed in a logistic and a tree model: all test rows stand on the right side of it."""
+    from . import training as TR
+    s = stage(sessions(spark, sf, LONG_GAP), "training-sessions")
+    parts = []
+    for model_type in ("logistic_regression", "random_forest"):
+        model, threshold, (_, _, test) = TR.fit_and_tune(s, model_type)
+        parts.append(TR.threshold_faults(model, threshold, test).select(F.lit(model_type).alias("model_type"), "n_scored", "n_faults"))
+    return parts[0].unionByName(parts[1])
+
+
+def q_retrain_cycle(spark, sf):
+    """Two full cycles over all events: the first model is promoted, an equal challenger is not."""
+    from . import training as TR
+    prepare(spark)
+    run = _run_dir(spark, sf, "retrain")
+    totals = []
+    for version in ("v1", "v2"):
+        done = TR.run_training_cycle(spark, events(spark, sf), f"{run}/models", f"{run}/registry", gap=LONG_GAP, distinct="exact", version=version)
+        totals.append((version, done["sessions"], done["purchased"]))
+    log = REG.read_registry(spark, f"{run}/registry").select("version", "promoted")
+    active = REG.active_champion(REG.read_registry(spark, f"{run}/registry")).select(F.col("version").alias("active_version"))
+    counts = spark.createDataFrame(totals, "version string, n_sessions long, n_purchased long")
+    return log.join(counts, "version").join(active, F.col("version") == F.col("active_version"), "left").select(
+        "version", "promoted", F.col("active_version").isNotNull().alias("is_active"), "n_sessions", "n_purchased")
+
+
+def q_lake_presence(spark, sf):
+    """What the lake checks say of a missing folder, an empty one, a write without its end mark and a finished lake."""
+    prepare(spark)
+    run = _run_dir(spark, sf, "presence")
+    ev = events(spark, sf)
+    fs, empty = L._fs_path(spark, f"{run}/empty")
+    fs.mkdirs(empty)
+    ev.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{run}/unfinished")
+    L.write_lake(ev, f"{run}/finished", partition_by=("event_type",))
+    rows = []
+    for name in ("missing", "empty", "unfinished", "finished"):
+        path = f"{run}/{name}"
+        found = L.read_lake_if_present(spark, path)
+        rows.append((name, L.path_exists(spark, path), L.write_complete(spark, path), found.count() if found is not None else None))
+    return spark.createDataFrame(rows, "folder string, present boolean, complete boolean, n_events long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -30,6 +30,10 @@ def stream_oracle_sql() -> dict[str, str]:
             select 0::bigint as batch_id, count(*) as input_rows, 0::bigint as dropped_rows from ev, cut where event_time <= mid
             union all select 1, count(*), 0 from ev, cut where event_time > mid
             union all select 2, count(*), count(*) filter (where event_time + interval 30 minute <= w) from late, mark""",
+        "capped_intake": f"""with {EV_SEC}
+            select cast(floor((k % 6) / 2) as bigint) as batch_id, count(*) as input_rows, (select count(*) from ev) as n_archived from ev group by 1""",
+        "two_sinks": wire30 + f"""select 'lake' as sink, count(*) as n_rows from ev
+            union all select 'sessions', count(*) from sfeat where window_end <= {_LAST} - interval 30 minute""",
         "merged_sessions": f"with {EV_SEC},\n{sessions_cte('12 hour')}\nselect {FEATURE_SELECT} from sfeat",
         "archive_dedup_stream": f"""with {EV_SEC},
             d as (select distinct event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session from ev)

@@ -36,6 +36,7 @@ LATE_RULE = 5
 DELAY = "3 days"
 LATE_BY = dt.timedelta(days=3, hours=6)
 SEGMENTS = 6
+FILE_CAP = 2
 FLUSH_KEY = "__flush__"
 
 
@@ -116,6 +117,33 @@ def q_late_ledger(spark, sf):
     return read_ledger(spark, f"{run}/ledger").filter("input_rows > 0").select("batch_id", "input_rows", "dropped_rows")
 
 
+def q_capped_intake(spark, sf):
+    """Events dealt into six files under a cap of two files a trigger: what each trigger took in."""
+    ev = _wire(spark, sf)
+    run = _run_dir(spark, sf, "capped")
+    part = F.pmod(F.col("k"), F.lit(SEGMENTS))
+    source = _write_files(f"{run}/src", [_text(ev.filter(part == i)) for i in range(SEGMENTS)])
+    messages = message_stream(spark, source, max_files_per_trigger=FILE_CAP)
+    name = f"capped-{uuid.uuid4().hex[:8]}"
+    with LateRowLedger(spark, f"{run}/ledger", name, name):
+        _run(event_stream(messages).writeStream.queryName(name), f"{run}/out", f"{run}/checkpoint")
+    taken = read_ledger(spark, f"{run}/ledger").filter("input_rows > 0").select("batch_id", "input_rows")
+    return taken.withColumn("n_archived", F.lit(spark.read.parquet(f"{run}/out").count()).cast("long"))
+
+
+def q_two_sinks(spark, sf):
+    """The archive and the session stream at once over one source, each with a checkpoint of its own."""
+    prepare(spark)
+    run = _run_dir(spark, sf, "sinks")
+    source = T.messages_path(spark, sf)
+    archive = start_archive(_stream(spark, source), f"{run}/lake", f"{run}/checkpoint-archive", available_now=True)
+    feats = S.stream_session_features(_stream(spark, source), Q.GAP, Q.GAP, distinct="exact")
+    _run(feats.drop("session").writeStream, f"{run}/sessions", f"{run}/checkpoint-sessions")
+    archive.awaitTermination()
+    count = lambda sink: spark.read.parquet(f"{run}/{sink}").agg(F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("n_rows"))
+    return count("lake").unionByName(count("sessions"))
+
+
 def q_merged_sessions(spark, sf):
     """Events in order of arrival, every fifth key value three days and six hours late (inside the lateness bound of
     three days and the gap): the stream splits sessions, their pieces are merged again."""

@@ -11,7 +11,7 @@ from clickpath.sources.testdata import adapted_events
 from conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct")
-ML_KEYS = {"train_lr", "train_rf", "train_gbt", "score_sessions", "stream_scoring"}
+ML_KEYS = {"train_lr", "train_rf", "train_gbt", "score_sessions", "stream_scoring", "lr_optimum", "installed_threshold", "retrain_cycle"}
 CORE_KEYS = sorted(k for k in E.queries() if k not in ML_KEYS and not re.match(r"op\d+_|pipeline$", k))
 
 

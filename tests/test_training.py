@@ -3,8 +3,9 @@ import os
 from clickpath.operators import registry as REG
 from clickpath.plans import training as TR
 from clickpath.sources.testdata import adapted_events
+from clickpath.schema import FEATURE_COLS
 
-from conftest import SF_MED
+from conftest import SF_MED, SF_SMALL
 
 
 def test_training_cycle_promotes_first_and_keeps_equal_champion(spark, scratch):
@@ -59,3 +60,33 @@ def test_invalid_feature_rows_counts_null_and_nan(spark):
     rows = [tuple([1.0] * len(FEATURE_COLS)), tuple([None] + [1.0] * (len(FEATURE_COLS) - 1)),
             tuple([1.0] * (len(FEATURE_COLS) - 1) + [float("nan")])]
     assert TR.invalid_feature_rows(spark.createDataFrame(rows, cols)) == 2
+
+
+def test_the_fit_gradient_vanishes_at_the_optimum_only(spark):
+    from clickpath.plans import queries as Q
+    from clickpath.sources.stage import stage
+
+    s = stage(Q.sessions(spark, SF_SMALL, Q.LONG_GAP), "training-sessions")
+    model, _, (train, _, _) = TR.fit_and_tune(s, "logistic_regression")
+    slopes = {r.feature: r.gradient for r in TR.fit_gradient(model, train).collect()}
+    assert set(slopes) == {*FEATURE_COLS, "intercept"}
+    assert any(v is not None for v in slopes.values()) and all(v is None or abs(v) < Q.MAX_SLOPE for v in slopes.values())
+    early = TR.build_pipeline("logistic_regression")
+    early.getStages()[-1].setMaxIter(0)
+    slopes = [r.gradient for r in TR.fit_gradient(early.fit(train), train).collect()]
+    assert max(abs(v) for v in slopes if v is not None) > Q.MAX_SLOPE
+
+
+def test_an_installed_threshold_moves_predictions_and_faults_are_counted(spark):
+    from clickpath.plans import queries as Q
+    from clickpath.sources.stage import stage
+
+    s = stage(Q.sessions(spark, SF_SMALL, Q.LONG_GAP), "training-sessions")
+    model, _, (_, _, test) = TR.fit_and_tune(s, "logistic_regression")
+    positive = []
+    for threshold in (0.0, 1.0):
+        r = TR.threshold_faults(TR.install_threshold(model, threshold), threshold, test).first()
+        assert r.n_faults == 0 and r.n_scored == test.count()
+        positive.append(r.n_positive)
+    assert positive == [test.count(), 0]
+    assert TR.threshold_faults(model, 0.0, test).first().n_faults == test.count()  # installed at 1.0, judged at 0.0
