@@ -173,10 +173,18 @@ def find_licences(docs: DataFrame) -> DataFrame:
 def feature_hits(docs: DataFrame, features: list[str]) -> DataFrame:
     """(doc_id, paragraph, tokens, at): the lines with a weighted feature, and which features they hold.
 
-    Without one only the intercepts speak, and they say none.
+    Without one only the intercepts speak, and they say none.  Two neighbouring
+    words are put together only where the first one begins a weighted pair.
     """
+    pairs = [f for f in features if " " in f]
+    begin = sorted({f.split(" ")[0] for f in pairs})
+    single = [f for f in features if " " not in f]
+
+    def known(tokens: Column) -> Column:
+        pair = F.transform(tokens, lambda w, i: F.when(w.isin(*begin), F.concat(w, F.lit(" "), F.get(tokens, i + 1))))
+        return F.array_distinct(F.concat(F.filter(tokens, lambda w: w.isin(*single)), F.filter(pair, lambda f: f.isin(*pairs))))
+
     def of_line(line: Column, i: Column) -> Column:
-        known = lambda tokens: F.array_distinct(F.filter(pair_features(tokens), lambda f: f.isin(*features)))
         at = lambda tokens: F.transform(known(tokens), lambda f: (F.array_position(F.lit(features), f) - 1).cast("int"))
         return let(plain_words(line), lambda tokens: F.struct(i.alias("paragraph"), tokens.alias("tokens"), at(tokens).alias("at")))
 
