@@ -2,19 +2,22 @@
 
 A set of values is awkward to carry and to merge once it is large: it lives in
 one row.  Here every value gets a dense number (per kind), and a group's values
-become bitmaps of 32,768 numbers each (4 KB), so a group of a million values is
-31 rows that merge by OR, whatever task they meet in.  Counting is exact.
+become bitmaps of 64 numbers each (8 bytes, built as one long), so a group of a
+million values is 15,625 rows that merge by OR, whatever task they meet in, and
+a group of a few values takes a few bytes.  Counting is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Dictionary shards: a number is (position inside the shard) * SHARDS + shard, so no shard has to know another's size.
 SHARDS = 256
 # Copies of the small side of the id join, so that one hot (key, bucket) is read by several tasks.
 SALTS = 16
+# Fixed value: numbers a bitmap holds (the bits of a long).
+BITS = 64
 
 
 def number_values(values: DataFrame) -> DataFrame:
@@ -24,16 +27,23 @@ def number_values(values: DataFrame) -> DataFrame:
     return distinct.select("kind", "value", (at.cast("long") * SHARDS + F.col("shard")).alias("n"))
 
 
+def _as_bitmap(word: Column) -> Column:
+    return F.unhex(F.lpad(F.hex(word), BITS // 4, "0"))
+
+
 def value_bitmaps(values: DataFrame, group: list[str]) -> DataFrame:
     """(group…, kind, chunk, bitmap): the values of each group as bitmaps.  ``values``: group…, kind, value (not null)."""
     numbered = values.join(number_values(values), ["kind", "value"])
-    return (numbered.groupBy(*group, "kind", F.bitmap_bucket_number("n").alias("chunk"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bitmap")))
+    bit = F.expr(f"shiftleft(1L, cast(n % {BITS} as int))")
+    return (numbered.groupBy(*group, "kind", F.floor(F.col("n") / BITS).alias("chunk")).agg(F.bit_or(bit).alias("word"))
+            .select(*group, "kind", "chunk", _as_bitmap(F.col("word")).alias("bitmap")))
 
 
 def merge_bitmaps(bitmaps: DataFrame, group: list[str]) -> DataFrame:
     """The bitmaps of coarser groups: OR over the finer ones (a dictionary of their own numbers them alike)."""
-    return bitmaps.groupBy(*group, "kind", "chunk").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    word = F.conv(F.hex("bitmap"), 16, -10).cast("long")  # to a negative base: signed
+    return (bitmaps.groupBy(*group, "kind", "chunk").agg(F.bit_or(word).alias("word"))
+            .select(*group, "kind", "chunk", _as_bitmap(F.col("word")).alias("bitmap")))
 
 
 def count_bitmaps(bitmaps: DataFrame, group: list[str], kinds: dict[int, str]) -> DataFrame:

@@ -72,3 +72,17 @@ def test_bitmaps_merge_by_or(spark):
     assert per_day == {r.day: r.n for r in values.groupBy("day").agg(F.count_distinct("value").alias("n")).collect()}
     whole = D.merge_bitmaps(daily.withColumn("all", F.lit(1)), ["all"])
     assert D.count_bitmaps(whole, ["all"], {0: "n"}).first()["n"] == 900
+
+
+def test_bitmaps_of_small_groups_take_few_bytes(spark):
+    values = spark.range(2000).select(F.col("id").alias("k"), F.lit(0).alias("kind"), (F.col("id") % 90).cast("string").alias("value"))
+    bitmaps = D.value_bitmaps(values, ["k"])
+    assert bitmaps.agg(F.max(F.octet_length("bitmap"))).first()[0] <= 64  # 4,096 a group took GBs of a task's memory
+    assert D.count_bitmaps(bitmaps, ["k"], {0: "n"}).filter("n <> 1").count() == 0
+    # every bit of a word, the sign bit included, survives a merge
+    merged = D.merge_bitmaps(bitmaps.withColumn("all", F.lit(1)), ["all"])
+    again = D.merge_bitmaps(merged, ["all"])
+    assert [D.count_bitmaps(x, ["all"], {0: "n"}).first()["n"] for x in (merged, again)] == [90, 90]
+    full = spark.range(64).select(F.lit(1).alias("all"), F.lit(0).alias("kind"), F.lit(0).alias("chunk"),
+                                  F.unhex(F.lpad(F.hex(F.expr("shiftleft(1L, cast(id as int))")), 16, "0")).alias("bitmap"))
+    assert D.count_bitmaps(D.merge_bitmaps(full, ["all"]), ["all"], {0: "n"}).first()["n"] == 64
