@@ -12,8 +12,8 @@ Beside them go literal windows: the same words with case folded and no slots
 (items under ``WINDOW`` words: the whole item), so that a copy is found
 whatever its case, and whatever share of its words are names or numbers.  A
 short item without a template window of enough literal words is one whole
-template of two literal words at least, unless so many documents hold it that
-it is an idiom.  A
+template of two literal words at least; a caller may leave out those that so
+many documents hold that they may be idioms, not copies.  A
 literal passage counts by the same lengths, unless it is a part of the item
 and the template passage on its diagonal is inconsistent.
 """
@@ -144,7 +144,7 @@ def document_position(kinds: list[int]) -> Column:
     return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: tuple[str, ...] = ("doc_id",), keep_idioms: bool = False) -> DataFrame:
     """One row per (document, item) found: doc_id, item_id, n_windows, item_windows, n_slots, n_changed.
 
     ``n_windows`` counts the matched windows of the best passage, ``n_changed``
@@ -152,6 +152,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: tuple[str, ...] = (
     Null and empty texts match nothing, rows without an id cannot be named and
     are left out, repeated rows count once, and an empty table on either side
     gives no rows.  ``key``: the columns that name a document, instead of its id.
+    ``keep_idioms``: whole templates of short items count however many documents
+    hold them; without it, those over ``COMMON_DOCS`` and one in ``COMMON_SHARE``
+    documents do not.  Literal copies count either way.
     """
     key = list(key)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).select(*key, "text").dropna(subset=[*key, "text"])
@@ -160,13 +163,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: tuple[str, ...] = (
     # one row per kind, at most 24
     kinds = sorted(r[0] for r in item_windows.select("kind").distinct().collect()) or [TEMPLATE]
     # checked size; a larger benchmark joins by shuffle
-    side = F.broadcast(item_windows) if item_windows.count() <= BROADCAST_ROWS else item_windows
+    beside = F.broadcast if item_windows.count() <= BROADCAST_ROWS else lambda rows: rows
     place = [*key, "item_id", "shift"]
-    found = (document_windows(docs, key, kinds).join(side, "hash").withColumn("doc_pos", document_position(kinds)).where("doc_pos is not null")
+    found = (document_windows(docs, key, kinds).join(beside(item_windows), "hash").withColumn("doc_pos", document_position(kinds)).where("doc_pos is not null")
              .groupBy(*key, "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift"), "kind")
              .agg(F.sort_array(F.collect_set("item_pos")).alias("at")))
     matches = found
-    if kinds[0] < TEMPLATE:  # a short template that many documents hold is an idiom, not a copy
+    if kinds[0] < TEMPLATE and not keep_idioms:  # a short template that many documents hold is an idiom, not a copy
         found = materialize(found, "matches")
         limit = F.lit(max(COMMON_DOCS, docs.count() // COMMON_SHARE))
         idioms = (found.where(F.col("kind") < TEMPLATE).select("item_id", "kind", *key).distinct().groupBy("item_id", "kind")
@@ -174,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: tuple[str, ...] = (
         matches = found.join(idioms, ["item_id", "kind"], "left_anti")
     per_item = item_windows.groupBy("item_id", "kind").agg(F.count_distinct("item_pos").alias("item_windows"))
     passages = materialize(
-        matches.join(per_item, ["item_id", "kind"]).withColumn("n_windows", F.size("at"))
+        matches.join(beside(per_item), ["item_id", "kind"]).withColumn("n_windows", F.size("at"))
         .where((F.col("n_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows")))
                & (100 * F.col("n_windows") >= MIN_SHARE_PCT * F.col("item_windows"))), "passages")
 
@@ -184,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: tuple[str, ...] = (
     doc_words = (docs.join(named, key, "left_semi").dropDuplicates([*key, "text"])
                  .select(*key, bare_words(F.col("text")).alias("doc_words")))
     covered = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + (window_size(F.col("kind")) - 1)))))
-    both = (passages.join(item_words, "item_id").join(doc_words, key).withColumn("covered", covered)
+    both = (passages.join(beside(item_words), "item_id").join(doc_words, key).withColumn("covered", covered)
             .withColumn("slots", F.filter("covered", lambda p: is_slot(canonical(F.get(F.col("item_words"), p)))))
             .withColumn("pairs", F.transform("slots", lambda p: F.struct(
                 F.get(F.col("item_words"), p).alias("item"), F.get(F.col("doc_words"), (p + F.col("shift")).cast("int")).alias("doc")))))

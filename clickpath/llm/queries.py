@@ -44,7 +44,7 @@ def op3_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep_idioms=True)
 
 
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

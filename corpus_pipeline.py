@@ -71,7 +71,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents without a passage of any benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     rows, digests = named(docs)
-    found = contaminated(rows.select("doc_id", "text", *digests), benchmark, digests).select(digests).distinct()
+    found = contaminated(rows.select("doc_id", "text", *digests), benchmark, digests, keep_idioms=True).select(digests).distinct()
     return rows.join(found, digests, "left_anti").select(own(docs))
 
 

@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from clickpath.llm import decontaminate, hmm, licences, linededup, mixture, neardup, preference, quality, reshard, secrets
+from clickpath.llm import decontaminate, hmm, licences, linededup, mixture, neardup, preference, quality, queries, reshard, secrets
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string, block int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -279,6 +279,18 @@ def test_reparameterised_items_are_found_and_idioms_are_not(spark):
     assert got == {(900, 0)}
 
 
+def test_short_templates_of_many_documents_are_all_found(spark, tmp_path):
+    """Every filled copy counts in the query, also beyond COMMON_DOCS documents."""
+    rng = random.Random(29)
+    n = decontaminate.COMMON_DOCS + 15
+    docs = [(i, f"{prose(rng, 5)} What is {i} plus {i + 1} ? {prose(rng, 5)}") for i in range(n)] + [(900, prose(rng, 30))]
+    docs_df(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    bench_df(spark, [(0, "What is 7 plus 205 ?"), (1, ITEM)]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op4_template_decontamination(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, 0) for i in range(n)]
+    assert all(r.n_changed == 2 for r in got if r.doc_id != 7)
+
+
 def test_decontamination_of_odd_rows(spark):
     long = " ".join(["filler"] * 60_000) + " " + ITEM + " tail" * 50_000
     rows = [(1, long), (1, long), (2, None), (3, ""), (None, ITEM), (4, "x" * 300_000), (5, ITEM), (5, "other text"), (6, " ".join([ITEM] * 3))]
