@@ -41,7 +41,7 @@ BLOCK_BYTES = 4 << 20
 
 _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _SEGMENT = 1 << 20
-_FOUND = "kind int, pid long, start int, h0 long, h1 int, n long, doc_id long, text binary, n_words long, repeated binary, kept_sha256 string"
+_FOUND = "kind int, pid long, start int, h0 long, h1 int, n long, doc_id long, text binary, n_words long, n_removed long, repeated binary, kept_sha256 string"
 
 
 def _narrow(h: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +185,12 @@ def _keep(n_words: int, starts: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(change)[:-1] == 0
 
 
+def _removed(keep: np.ndarray) -> tuple[int, bytes | None]:
+    """(number, compressed bitmap) of the words that go; no bitmap if none goes."""
+    n = len(keep) - int(keep.sum())
+    return n, zlib.compress(np.packbits(~keep).tobytes(), 1) if n else None
+
+
 def _rows(**columns) -> pa.RecordBatch:
     """A batch of ``_FOUND``; absent columns are null."""
     n = len(next(iter(columns.values())))
@@ -265,17 +271,17 @@ def _documents(docs: pa.RecordBatch, known: _Known, block: int, number: int, win
         pending[doc_of[open_]] = True
         f_doc, f_start = doc_of[found], p.first[found] - base[doc_of[found]]
         at = np.searchsorted(f_doc, np.arange(n + 1))
-        out: dict[str, list] = {c: [] for c in ("kind", "pid", "doc_id", "text", "n_words", "repeated", "kept_sha256")}
+        out: dict[str, list] = {c: [] for c in ("kind", "pid", "doc_id", "text", "n_words", "n_removed", "repeated", "kept_sha256")}
         for i in range(n):
             starts, text = f_start[at[i]:at[i + 1]], texts[row + i] or b""
             if pending[i]:
                 bits = np.zeros(size[i], bool)
                 bits[starts] = True
-                values = (1, int(name) + i, ids[row + i], zlib.compress(text, 1), int(size[i]), zlib.compress(np.packbits(bits).tobytes(), 1), None)
+                values = (1, int(name) + i, ids[row + i], zlib.compress(text, 1), int(size[i]), None, zlib.compress(np.packbits(bits).tobytes(), 1), None)
             else:
                 keep = _keep(size[i], starts, window) if len(starts) else None
-                bits = None if keep is None else zlib.compress(np.packbits(~keep).tobytes(), 1)
-                values = (0, None, ids[row + i], None, int(size[i]), bits, kept_sha256(text, keep))
+                gone, bits = (0, None) if keep is None else _removed(keep)
+                values = (0, None, ids[row + i], None, int(size[i]), gone, bits, kept_sha256(text, keep))
             for c, v in zip(out, values):
                 out[c].append(v)
         yield _rows(**out)
@@ -284,25 +290,19 @@ def _documents(docs: pa.RecordBatch, known: _Known, block: int, number: int, win
 def _finish(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, sha = [], []
+            gone, removed, sha = [], [], []
             for text, n, bits, more in zip(*(batch.column(c).to_pylist() for c in ("text", "n_words", "repeated", "starts"))):
                 first = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(bits), np.uint8))[:n])
                 keep = _keep(n, np.concatenate([first, np.array(more or [], np.int64)]), window)
-                removed.append(zlib.compress(np.packbits(~keep).tobytes(), 1) if not keep.all() else None)
+                for out, v in zip((gone, removed), _removed(keep)):
+                    out.append(v)
                 sha.append(kept_sha256(zlib.decompress(text), keep))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(removed, pa.binary()), pa.array(sha)],
-                                             ["doc_id", "n_words", "removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(gone, pa.int64()), pa.array(removed, pa.binary()),
+                                              pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "removed", "kept_sha256"])
 
     return run
 
 
-def _n_removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = [0 if b is None else int(np.unpackbits(np.frombuffer(zlib.decompress(b), np.uint8)).sum()) for b in batch.column("removed").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(n, pa.int64()), batch.column("removed"),
-                                          batch.column("kept_sha256")], ["doc_id", "n_words", "n_removed", "removed", "kept_sha256"])
-
-
 def repeated_words(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, removed (compressed bitmap over its words, null: none), kept_sha256.
 
@@ -331,6 +331,6 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
     windows = found.where("kind = 2").select("h0", "h1", "n", "pid", "start")
     more = repeated(windows, ["pid", "start"], least).where("pid >= 0").groupBy("pid").agg(F.collect_list("start").alias("starts"))
     late = (found.where("kind = 1").select("pid", "doc_id", "text", "n_words", "repeated").join(more, "pid", "left")
-            .mapInArrow(_finish(window), "doc_id long, n_words long, removed binary, kept_sha256 string"))
-    rows = found.where("kind = 0").select("doc_id", "n_words", F.col("repeated").alias("removed"), "kept_sha256").unionByName(late)
-    return rows.mapInArrow(_n_removed, "doc_id long, n_words long, n_removed long, removed binary, kept_sha256 string")
+            .mapInArrow(_finish(window), "doc_id long, n_words long, n_removed long, removed binary, kept_sha256 string"))
+    # each task of these stages has one Python worker: the numbers come with the verdicts, not from a pass over the result
+    return found.where("kind = 0").select("doc_id", "n_words", "n_removed", F.col("repeated").alias("removed"), "kept_sha256").unionByName(late)
