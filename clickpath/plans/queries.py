@@ -509,6 +509,7 @@ def q_stream_scoring(spark, sf):
     from . import training as TR
     from ..streaming import scoring as SC
     from ..streaming.sources import event_stream, message_stream
+    from ..streaming.state import state_on_disk
 
     prepare(spark)
     run = _run_dir(spark, sf, "scoring")
@@ -516,10 +517,11 @@ def q_stream_scoring(spark, sf):
     model.write().overwrite().save(f"{run}/models/v1")
     REG.append_registry(spark, f"{run}/registry", hdfs_path=f"{run}/models/v1", version="v1", trained_on=sf,
                         metrics={}, promoted=True, gap=GAP, distinct="exact", features=S.feature_columns())
-    q = SC.start_scoring(event_stream(message_stream(spark, T.messages_path(spark, sf))),
-                         champion=SC.ChampionCache(f"{run}/registry", poll_seconds=0),
-                         predictions_path=f"{run}/predictions", metrics_path=f"{run}/metrics",
-                         checkpoint=f"{run}/checkpoint", gap=GAP, distinct="exact", available_now=True)
+    events_in = event_stream(message_stream(spark, T.messages_path(spark, sf)))
+    with state_on_disk(spark):  # one trigger takes all files: its state is every session
+        q = SC.start_scoring(events_in, champion=SC.ChampionCache(f"{run}/registry", poll_seconds=0),
+                             predictions_path=f"{run}/predictions", metrics_path=f"{run}/metrics",
+                             checkpoint=f"{run}/checkpoint", gap=GAP, distinct="exact", available_now=True)
     q.awaitTermination()
     return finish(_scored_keys(spark.read.parquet(f"{run}/predictions")))
 

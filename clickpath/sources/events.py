@@ -70,14 +70,14 @@ def sanitize_wire(raw: DataFrame) -> DataFrame:
 
 
 def decode_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Binary/str JSON message → event columns; bad JSON gives an all-null row."""
-    return (
-        messages.select(
-            F.from_json(F.col(value_col).cast("string"), WIRE_EVENT_SCHEMA).alias("event")
-        )
-        .select("event.*")
-        .withColumn("event_time", parse_event_time(F.col("event_time")))
-    )
+    """Binary/str JSON message → event columns; bad JSON gives an all-null row.
+
+    The message is decoded inside a generator: a filter on its fields cannot be
+    pushed below it, which would parse the JSON again for every field it names.
+    """
+    event = F.from_json(F.col(value_col).cast("string"), WIRE_EVENT_SCHEMA)
+    timed = F.transform(F.array(event), lambda e: e.withField("event_time", parse_event_time(e["event_time"])))
+    return messages.select(F.inline(timed))
 
 
 def clean_events(events: DataFrame) -> DataFrame:

@@ -1,7 +1,10 @@
-"""What a running session stream still holds: open sessions from its state store."""
+"""The session state of a stream: where it is kept, and what it still holds (open sessions from the state store)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -11,6 +14,31 @@ from ..operators.sessions import DEFAULT_GAP, gap_micros
 # Columns of the state value before the distinct-count buffers: the window, then the aggregates in the order of ``event_aggregations``.
 _WITH_LABEL = ("label", "session_start", "session_end", "view_count", "cart_count", "remove_count")
 
+_STATE_STORE = "spark.sql.streaming.stateStore"
+PROVIDER_KEY = f"{_STATE_STORE}.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# One cache and write buffer for all stores of an executor; no lookup before each write only to count the rows held.
+_ROCKSDB_SETTINGS = {f"{_STATE_STORE}.rocksdb.boundedMemoryUsage": "true", f"{_STATE_STORE}.rocksdb.trackTotalNumberOfRows": "false"}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB (off-heap, spilling to local disk) instead of the executors' heaps.
+
+    A trigger that takes everything there is holds every session until the next
+    one closes them.  A provider or setting that the cluster chose stays.  The
+    progress of such a stream does not count the rows held.
+    """
+    chosen = {} if spark.conf.get(PROVIDER_KEY, None) else {PROVIDER_KEY: ROCKSDB, **_ROCKSDB_SETTINGS}
+    mine = {k: v for k, v in chosen.items() if spark.conf.get(k, None) is None}
+    for k, v in mine.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in mine:
+            spark.conf.unset(k)
+
 
 def open_sessions(spark: SparkSession, checkpoint: str, gap: str | int = DEFAULT_GAP, key: str = "user_session",
                   with_label: bool = True, batch_id: int | None = None) -> DataFrame:

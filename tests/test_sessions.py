@@ -159,3 +159,19 @@ def test_rows_without_time_belong_to_no_session(spark, mode):
     assert isinstance(out[0]["ws"], dt.datetime)
     w = session_windows(events_df(spark, rows)).collect()
     assert [r.n_events for r in w] == [2]
+
+
+def test_exact_merge_builds_no_set_per_session(spark):
+    """Sessions of one bucket, of several with values in common, with no value at all: counted without a set in one row."""
+    rows = [
+        ev(0, product=1, category=1, brand="a", session="one"), ev(60, "cart", product=2, category=1, brand=None, session="one"),
+        *[ev(20 * MIN * i, product=i % 3, category=i % 2, brand="ab"[i % 2], session="many") for i in range(12)],
+        ev(0, product=None, category=None, brand=None, price=None, session="bare"), ev(29 * MIN, "purchase", product=9, session="bare"),
+        ev(0, product=None, brand=None, price=None, session="late"), ev(30 * MIN, "purchase", session="late"), ev(60 * MIN, product=5, brand="z", session="late"),
+        ev(0, "purchase", session="bought"),
+    ]
+    got = {r["user_session"]: (r["distinct_products"], r["distinct_categories"], r["distinct_brands"], r["view_count"], r["avg_price"], r["label"]) for r in feats(spark, rows)}
+    assert got == {"one": (2, 1, 1, 1, 1.0, 0), "many": (3, 2, 2, 12, 1.0, 0), "bare": (0, 0, 0, 1, 0.0, 1), "late": (1, 1, 1, 2, 1.0, 1)}
+    plan = session_features(events_df(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    merges = [line for line in plan.splitlines() if "Aggregate [user_session" in line and "_sid" in line.split("]")[0]]
+    assert merges and not any("collect_set" in line for line in merges), plan

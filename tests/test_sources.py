@@ -52,6 +52,16 @@ def test_decode_bad_json_and_clean(spark):
     assert len(cleaned) == 2 and {r.product_id for r in cleaned} == {5, None}
 
 
+def test_messages_are_decoded_once(spark):
+    """The cleaning filter names decoded fields: pushed below the decoding it would parse every message again."""
+    messages = spark.createDataFrame([('{"event_time":"2024-01-01 00:00:00 UTC","user_session":"s","price":1.5}',), ("{oops",), (None,)], "value string")
+    clean = E.clean_events(E.decode_events(messages))
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("gettimestamp(") == 1, plan
+    assert E.decode_events(messages).count() == 3
+    assert [(r.user_session, r.price) for r in clean.collect()] == [("s", 1.5)]
+
+
 def test_csv_rejects_wrong_arity(spark, scratch):
     path = os.path.join(scratch, "raw.csv")
     lines = [

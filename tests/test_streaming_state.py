@@ -1,14 +1,19 @@
 """Event-time rules of the scoring stream: late data and restart from checkpoint."""
 
 import datetime as dt
+import glob
 import json
 import os
 import time
 
 from pyspark.sql import functions as F
 
+from clickpath.config import checkpoint_dir
 from clickpath.operators.sessions import session_features, stream_session_features
+from clickpath.plans.queries import QUERIES
+from clickpath.sources import testdata as T
 from clickpath.streaming.sources import event_stream, message_stream
+from clickpath.streaming.state import PROVIDER_KEY, ROCKSDB, state_on_disk
 
 from test_streaming import write_message_files
 
@@ -80,3 +85,32 @@ def test_restart_from_checkpoint_gives_no_duplicates(spark, scratch):
     closed = session_features(decoded, with_label=False, distinct="exact").filter(F.col("session.end") <= F.lit(wm))
     assert got.count() == closed.count()
     assert got.exceptAll(closed.drop("session").select(*got.columns)).count() == 0
+
+
+def test_state_on_disk_is_for_the_streams_started_inside(spark):
+    counted = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    with state_on_disk(spark):
+        assert spark.conf.get(PROVIDER_KEY) == ROCKSDB and spark.conf.get(counted) == "false"
+    assert spark.conf.get(PROVIDER_KEY, None) is None and spark.conf.get(counted, None) is None
+    spark.conf.set(PROVIDER_KEY, "chosen by the cluster")
+    try:
+        with state_on_disk(spark):
+            assert spark.conf.get(PROVIDER_KEY) == "chosen by the cluster" and spark.conf.get(counted, None) is None
+        assert spark.conf.get(PROVIDER_KEY) == "chosen by the cluster"
+    finally:
+        spark.conf.unset(PROVIDER_KEY)
+
+
+def test_stream_scoring_scores_every_closed_session_from_state_on_disk(spark, scratch):
+    sf = os.path.join(scratch, "sf")
+    types = ("view", "click", "purchase", "error", "signup")
+    rows = [(i, T0 + dt.timedelta(minutes=17 * i), i % 7, types[(i * i + i // 7) % 5], 1.0 + i % 9, json.dumps({"k": i % 23})) for i in range(600)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{sf}/events.parquet")
+    got = QUERIES["stream_scoring"](spark, sf)
+    wm = rows[-1][1] - dt.timedelta(minutes=30)
+    closed = session_features(T.adapted_events(spark, sf)).filter(F.col("session.end") <= F.lit(wm))
+    want = closed.select("user_session", F.col("session_end").cast("timestamp_ntz").alias("event_time"), F.lit("v1"), F.lit(True))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 100
+    offsets = glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/clickpath-work/{T._fingerprint(sf)}/streams/scoring-*/checkpoint/offsets/0")
+    assert len(offsets) == 1 and json.loads(open(offsets[0]).read().splitlines()[1])["conf"][PROVIDER_KEY] == ROCKSDB
+    assert spark.conf.get(PROVIDER_KEY, None) is None
