@@ -6,6 +6,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickpath.config import checkpoint_dir
@@ -87,7 +88,17 @@ def test_restart_from_checkpoint_gives_no_duplicates(spark, scratch):
     assert got.exceptAll(closed.drop("session").select(*got.columns)).count() == 0
 
 
-def test_state_on_disk_is_for_the_streams_started_inside(spark):
+@pytest.fixture()
+def no_provider(spark):
+    """A session without a chosen provider: ``jobs consume`` of other tests leaves its choice in the shared one."""
+    before = spark.conf.get(PROVIDER_KEY, None)
+    spark.conf.unset(PROVIDER_KEY)
+    yield
+    if before is not None:
+        spark.conf.set(PROVIDER_KEY, before)
+
+
+def test_state_on_disk_is_for_the_streams_started_inside(spark, no_provider):
     counted = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
     with state_on_disk(spark):
         assert spark.conf.get(PROVIDER_KEY) == ROCKSDB and spark.conf.get(counted) == "false"
@@ -101,7 +112,7 @@ def test_state_on_disk_is_for_the_streams_started_inside(spark):
         spark.conf.unset(PROVIDER_KEY)
 
 
-def test_stream_scoring_scores_every_closed_session_from_state_on_disk(spark, scratch):
+def test_stream_scoring_scores_every_closed_session_from_state_on_disk(spark, scratch, no_provider):
     sf = os.path.join(scratch, "sf")
     types = ("view", "click", "purchase", "error", "signup")
     rows = [(i, T0 + dt.timedelta(minutes=17 * i), i % 7, types[(i * i + i // 7) % 5], 1.0 + i % 9, json.dumps({"k": i % 23})) for i in range(600)]
